@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, packing
+from tessera.llm import bpe, fingerprint, language, license_scan, packing, pii, quality
 
-_MODULES = (packing, bpe)
+_MODULES = (license_scan, quality, language, packing, bpe, pii, fingerprint)
 
 QUERIES = {}
 ORACLES = {}
