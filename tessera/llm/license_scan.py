@@ -96,9 +96,9 @@ def anchors(templates: dict[str, str], least: float = LEAST) -> list[str]:
         may_miss = len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9)
         touched: set[int] = set()
         while len(touched) <= may_miss:
-            # long words first: they are rare elsewhere
-            gain = {w: (len({i for i, g in enumerate(grams) if w in g} - touched) * len(w), w) for g in grams for w in g}
-            word = max(gain, key=lambda w: gain[w])
+            new = {w: len({i for i, g in enumerate(grams) if w in g} - touched) for g in grams for w in g}
+            # long words first: short ones are frequent in any text
+            word = max((w for w in new if new[w]), key=lambda w: (len(w) > 4, new[w] * len(w), w))
             touched |= {i for i, g in enumerate(grams) if word in g}
             found.add(word)
     return sorted(found)
