@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, fingerprint, language, license_scan, packing, pii, quality
+from tessera.llm import bpe, fingerprint, language, license_scan, packing, pii, quality, vectors
 
-_MODULES = (license_scan, quality, language, packing, bpe, pii, fingerprint)
+_MODULES = (license_scan, quality, language, packing, vectors, bpe, pii, fingerprint)
 
 QUERIES = {}
 ORACLES = {}
