@@ -28,7 +28,7 @@ from tessera.llm.common import table
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pieces that a worker keeps; the cache starts anew beyond this.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 700_000
 #: Bytes of pieces in one recursive query, so that its intermediate rows stay small.
 QUERY_BYTES = 800_000
 #: Rows of all steps of one recursive query.
