@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, fingerprint, jaccard, language, license_scan, packing, pii, quality, vectors
+from tessera.llm import bpe, fingerprint, html_text, jaccard, language, license_scan, packing, pii, quality, vectors
 
-_MODULES = (jaccard, license_scan, quality, language, packing, vectors, bpe, pii, fingerprint)
+_MODULES = (html_text, jaccard, license_scan, quality, language, packing, vectors, bpe, pii, fingerprint)
 
 QUERIES = {}
 ORACLES = {}
