@@ -48,17 +48,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id.
 
-    Rows that repeat an id inside their group leave one. Null ids are no one's smallest and stay
-    only if nothing else of their group does.
+    Rows that repeat an id inside their group leave one. Documents without an id are in no
+    group; of equal texts among them one stays.
     """
-    groups = jaccard.near_duplicates(docs).select("doc_id", "component_id")
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    alone = docs.where("doc_id is null")
-    if alone.isEmpty():
-        return kept
-    named = groups.where("doc_id is null and component_id is null").limit(1)
-    return kept if named.isEmpty() else kept.unionByName(alone.dropDuplicates(["text"]))
+    groups = scratch(jaccard.near_duplicates(docs).select("doc_id", "component_id"), "groups")
+    keep = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = docs.join(keep.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    if not keep.where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    if not groups.where("doc_id is null").isEmpty():
+        kept = kept.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+    return kept
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
 _LOCAL: list[str] = []
@@ -69,6 +70,11 @@ def py_crc_mod(value: int | None, modulus: int) -> int:
     return zlib.crc32(b"" if value is None else str(value).encode()) % modulus
 
 
+def schema_with(df: DataFrame, **added: str) -> StructType:
+    """The columns of ``df`` and new ones of the given types."""
+    return StructType([*df.schema.fields, *(StructField(name, DataType.fromDDL(kind)) for name, kind in added.items())])
+
+
 def rows_by_key(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Yields one table per run of equal ``key`` in batches that are sorted by it.
 

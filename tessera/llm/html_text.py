@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import schema_with, table
 from tessera.llm.shingles import word_hashes
 
 #: Pages that the network may learn from.
@@ -450,7 +450,7 @@ def extract(pages: DataFrame, net: Labeller, html_col: str = "html", text_col: s
     held = pages.sparkSession.sparkContext.broadcast(net)
     at = pages.columns.index(html_col)
     others = [c for c in pages.columns if c != html_col]
-    schema = pages.select(*others).schema.add(text_col, "string")
+    schema = schema_with(pages.select(*others), **{text_col: "string"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value

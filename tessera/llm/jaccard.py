@@ -24,9 +24,9 @@ pairs members of different components. The last round pairs what is still apart.
 near copies costs about m verifications, and no link between different components is lost.
 
 Defined results for odd input: null text and texts without words have an empty set (n_shingles 0)
-and link with nothing; rows with equal doc_id are separate texts that share an id; null ids
-take part, but cannot name a component (a class of null ids alone has component null); an empty table
-gives no rows; extra columns are ignored.
+and link with nothing; rows with equal doc_id are separate texts that share an id; rows
+without an id link with nothing (component null); an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -215,18 +215,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = scratch(summaries(docs), "summaries")
     keys = ["n_shingles", "d1", "d2"]
     # copies meet here; partial aggregation leaves one row per task of a large group
-    classes = rows.where("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"))
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"))
     classes = scratch(classes.select(*keys, "least", "prefix", F.xxhash64(*keys).alias("cls")), "classes")
-    chosen = classes.where("least is not null").select(F.col("least").alias("doc_id"), *keys, "cls")
-    texts = docs.select("doc_id", "text")
-    texts = _texts(texts, chosen)
-    member = linked_classes(classes.where("least is not null").select("cls", F.col("n_shingles").alias("n"), "prefix"), texts)
+    chosen = classes.select(F.col("least").alias("doc_id"), *keys, "cls")
+    texts = _texts(docs.select("doc_id", "text"), chosen)
+    member = linked_classes(classes.select("cls", F.col("n_shingles").alias("n"), "prefix"), texts)
     named = classes.select(*keys, "cls", "least").join(member, F.col("cls") == F.col("node"), "left")
     named = named.withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     per_class = named.join(smallest, "component").select(*keys, "component_id")
     out = rows.select("doc_id", *keys).join(per_class, keys, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, table
+from tessera.llm.common import crc_mod, schema_with, table
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -157,7 +157,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_col: str = "
     """``docs`` with a predicted language and its probability; all other columns pass through."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
-    schema = docs.schema.add(lang_col, "string").add(score_col, "double")
+    schema = schema_with(docs, **{lang_col: "string", score_col: "double"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value

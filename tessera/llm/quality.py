@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, table
+from tessera.llm.common import crc_mod, schema_with, table
 
 #: Labelled documents that the trees may learn from.
 MAX_TRAIN = 12_000
@@ -195,7 +195,7 @@ def score(docs: DataFrame, forest: Forest, text: str = "text", score_col: str =
     """``docs`` with the probability of good quality; all other columns pass through."""
     held = docs.sparkSession.sparkContext.broadcast(forest)
     at = docs.columns.index(text)
-    schema = docs.schema.add(score_col, "double")
+    schema = schema_with(docs, **{score_col: "double"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = held.value
