@@ -153,7 +153,7 @@ def power_bin(n: Column | str) -> Column:
 
 def power_bin_label(n: Column | str) -> Column:
     order = power_bin(n)
-    low = F.shiftleft(F.lit(1).cast("long"), F.greatest(order - 1, F.lit(0)))
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(order - 1, F.lit(0)))
     return F.when(order <= 1, order.cast("string")).otherwise(F.concat_ws("-", low.cast("string"), (low * 2 - 1).cast("string")))
 
 

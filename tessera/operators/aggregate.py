@@ -54,25 +54,29 @@ def heatmap(df: DataFrame, group: Sequence[str], x: str, y: str, weight: str, hi
     return cells.groupBy(*group, "x_bin", "y_bin").agg(F.sum(weight).alias("eligible"), F.sum(F.when(F.col(hit), F.col(weight)).otherwise(0)).alias("found"))
 
 
-def threshold_curve(df: DataFrame, group: Sequence[str], score: str, direction: str = "min", start: int = 1, weight: str | None = None) -> DataFrame:
+def threshold_curve(
+    df: DataFrame, group: Sequence[str], score: str, direction: str = "min", start: int = 1, weight: str | None = None, also: dict[str, Column] | None = None
+) -> DataFrame:
     """(group, threshold, retained, total) over the dense integer grid start .. max + 1.
 
     ``min`` keeps score >= threshold, ``max`` keeps score <= threshold. Null scores never pass, but
-    count in the total.
+    count in the total. ``also`` adds columns that sum further weights over what is retained.
     """
     w = F.col(weight) if weight else F.lit(1)
+    sums = {"retained": w, **(also or {})}
     total = df.groupBy(*group).agg(F.sum(w).alias("total"), F.max(score).alias("_top"))
-    counts = df.where(F.col(score).isNotNull()).groupBy(*group, F.col(score).alias("threshold")).agg(F.sum(w).alias("_n"))
+    known = df.where(F.col(score).isNotNull())
+    counts = known.groupBy(*group, F.col(score).cast("long").alias("threshold")).agg(*(F.sum(v).alias(n) for n, v in sums.items()))
     low = F.lit(start).cast("long")
-    top = F.greatest(F.col("_top") + 1, low).cast("long")
-    grid = total.where("_top is not null").select(*group, F.explode(F.sequence(low, top)).alias("threshold"))
+    grid = total.where("_top is not null").select(*group, F.explode(F.sequence(low, F.greatest(F.col("_top") + 1, low).cast("long"))).alias("threshold"))
     # scores outside the grid still add to the running sums
-    cells = counts.unionByName(grid.withColumn("_n", F.lit(0))).groupBy(*group, "threshold").agg(F.sum("_n").alias("_n"))
+    cells = counts.unionByName(grid.withColumns({n: F.lit(0) for n in sums})).groupBy(*group, "threshold").agg(*(F.sum(n).alias(n) for n in sums))
     part = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    along = part.orderBy(F.desc("threshold") if direction == "min" else F.asc("threshold"))
-    run = cells.withColumn("retained", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    run = run.where(F.col("threshold") >= start).join(total.drop("_top"), list(group)) if group else run.where(F.col("threshold") >= start).crossJoin(F.broadcast(total.drop("_top")))
-    return run.select(*group, "threshold", "retained", "total")
+    along = part.orderBy(F.desc("threshold") if direction == "min" else F.asc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    run = cells.withColumns({n: F.sum(n).over(along) for n in sums}).where(F.col("threshold") >= start)
+    totals = total.drop("_top")
+    run = run.join(totals, list(group)) if group else run.crossJoin(F.broadcast(totals))  # one row
+    return run.select(*group, "threshold", *sums, "total")
 
 
 def change_points(df: DataFrame, group: Sequence[str], score: str, direction: str = "min") -> DataFrame:

@@ -245,8 +245,8 @@ def weighted_ecdf(df: DataFrame, group: Sequence[str], focal: str, role: str, sc
     rows = df.where(F.col(score).isNotNull()).withColumn("_w", 1 / n)
     ends = rows.groupBy(*group).agg(F.percentile(score, F.array(F.lit(0.005), F.lit(0.995))).alias("_q"))
     step = (F.col("_q")[1] - F.col("_q")[0]) / (points - 1)
-    grid = ends.select(*group, F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.struct(k.alias("k"), (F.col("_q")[0] + k * step).alias("x")))).alias("g"))
-    grid = grid.select(*group, "g.k", "g.x")
+    grid = ends.select(*group, F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.struct(k.alias("k"), (F.col("_q")[0] + k * step).alias("x")))).alias("_g"))
+    grid = grid.select(*group, "_g.k", "_g.x")
     # one pass: each score goes to the first grid point that is not below it, then running sums
     start = ends.select(*group, F.col("_q")[0].alias("_lo"), step.alias("_step"))
     placed = rows.join(F.broadcast(start) if not group else start, list(group)) if group else rows.crossJoin(F.broadcast(start))
