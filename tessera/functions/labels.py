@@ -85,7 +85,7 @@ def _status(value: Column) -> Column:
 def set_items(text: Column | str, separator: str = "|") -> Column:
     """The trimmed, non-empty items of set-valued text, in order."""
     parts = F.split(F.coalesce(_c(text), F.lit("")), rf"[{separator}]")
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def set_text(items: Column, separator: str = "|") -> Column:

@@ -73,7 +73,7 @@ def compact_events(
     aggs = [F.count("*").alias("rows"), *(filled(a).alias(a) for a in attributes)]
     if flags:
         items = F.flatten(F.collect_set(F.split(F.coalesce(F.col(flags), F.lit("")), "[,|]")))
-        clean = F.array_sort(F.array_distinct(F.filter(F.transform(items, F.trim), lambda x: x != "")))
+        clean = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")))
         aggs.append(F.array_join(clean, "|").alias(flags))
     support = raw.groupBy(*event, observer).agg(*aggs)
     events = support.groupBy(*event).agg(F.countDistinct(observer).alias("observers"), F.sum("rows").alias("rows"))

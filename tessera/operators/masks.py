@@ -26,7 +26,7 @@ def mask_of_array(values: Column, members: Sequence[str]) -> Column:
 def mask_of_text(text: Column | str, members: Sequence[str], separator: str = ",") -> Column:
     """Mask of the members in separated text, items trimmed."""
     t = F.col(text) if isinstance(text, str) else text
-    return mask_of_array(F.transform(F.split(t, f"[{separator}]"), F.trim), members)
+    return mask_of_array(F.transform(F.split(t, f"[{separator}]"), lambda x: F.trim(x)), members)
 
 
 def member_bit(member: Column | str, members: Sequence[str]) -> Column:
