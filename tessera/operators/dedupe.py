@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.contracts import Check
+from tessera.storage import scratch
 
 
 def first_by(df: DataFrame, key: Sequence[str], *priority: Column | str) -> DataFrame:
@@ -39,13 +40,27 @@ def occurrence(df: DataFrame, key: Sequence[str], *order: str, out: str = "occur
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
 
 
+def dense_index(df: DataFrame, *order: str, out: str) -> DataFrame:
+    """Numbers rows from 1 in the given order, which must be total, without one task for all of them.
+
+    A range sort gives each row its partition and place in it; the partitions' sizes, one row
+    per partition, give the offsets. The sorted table is written once, so both see the same rows.
+    """
+    placed = scratch(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return numbered.withColumn(out, F.col("_before") + place + 1).drop("_part", "_before", "_at")
+
+
 def accept_first(df: DataFrame, value: str, position: str) -> DataFrame:
     """Keeps all rows: accepted (first of its value), accepted_index, duplicate_of_index (the first's).
 
-    Indexes number accepted rows by position. The numbering window runs over the distinct values only.
+    Indexes number accepted rows by position.
     """
-    firsts = df.groupBy(value).agg(F.min(position).alias("_first"))
-    numbered = firsts.withColumn("_index", F.row_number().over(Window.orderBy("_first")))
+    numbered = dense_index(df.groupBy(value).agg(F.min(position).alias("_first")), "_first", out="_index")
     both = df.join(numbered, value)
     accepted = F.col(position) == F.col("_first")
     return both.select(
@@ -77,8 +92,11 @@ def compact_events(
         aggs.append(F.array_join(clean, "|").alias(flags))
     support = raw.groupBy(*event, observer).agg(*aggs)
     events = support.groupBy(*event).agg(F.countDistinct(observer).alias("observers"), F.sum("rows").alias("rows"))
-    number = Window.partitionBy(*partition).orderBy(*event) if partition else Window.orderBy(*event)
-    events = events.withColumn("event_id", F.row_number().over(number))
+    if partition:
+        number = F.row_number().over(Window.partitionBy(*partition).orderBy(*event))
+        events = events.withColumn("event_id", number.cast("long"))
+    else:
+        events = dense_index(events, *event, out="event_id")
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"e.{c}")) for c in event]
     keyed = support.alias("s").join(events.select(*event, "event_id").alias("e"), same).select("e.event_id", *(f"s.{c}" for c in support.columns if c not in event))
     return events, keyed

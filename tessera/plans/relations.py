@@ -34,7 +34,7 @@ def hash_sample(spark, sf_dir):
 
 @query("first_index_dedupe", """
 WITH r AS (SELECT doc_id, md5(text) AS h, min(doc_id) OVER (PARTITION BY md5(text)) AS f FROM documents),
-n AS (SELECT f, row_number() OVER (ORDER BY f)::INTEGER AS i FROM (SELECT DISTINCT f FROM r))
+n AS (SELECT f, row_number() OVER (ORDER BY f)::BIGINT AS i FROM (SELECT DISTINCT f FROM r))
 SELECT doc_id, h, doc_id = r.f AS accepted, CASE WHEN doc_id = r.f THEN i END AS accepted_index, CASE WHEN doc_id <> r.f THEN i END AS duplicate_of_index FROM r JOIN n ON n.f = r.f""")
 def first_index_dedupe(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
@@ -48,7 +48,7 @@ def occurrence_counter(spark, sf_dir):
 
 @query("event_compaction", """
 WITH s AS (SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2, 3)
-SELECT o_custkey, o_orderstatus, count(*)::BIGINT AS observers, sum(n)::BIGINT AS rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_custkey, o_orderstatus)::INTEGER AS event_id FROM s GROUP BY 1, 2""")
+SELECT o_custkey, o_orderstatus, count(*)::BIGINT AS observers, sum(n)::BIGINT AS rows, row_number() OVER (PARTITION BY o_custkey ORDER BY o_custkey, o_orderstatus)::BIGINT AS event_id FROM s GROUP BY 1, 2""")
 def event_compaction(spark, sf_dir):
     rows = table(spark, sf_dir, "orders")
     return dedupe.compact_events(rows, ["o_custkey", "o_orderstatus"], "o_orderpriority", [], None, ["o_orderkey"], ["o_custkey"])[0]
