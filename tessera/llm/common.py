@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 import zlib
@@ -44,6 +45,15 @@ def scratch(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Spark does so when the driver's collector finds them; a job of many steps should not wait for that.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scratch() -> None:
     while _SCRATCH:
         spark, path = _SCRATCH.pop()

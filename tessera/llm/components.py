@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import scratch
 
 
+def local_roots(n: int, i: np.ndarray, j: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
+    """Smallest index of each of ``n`` local nodes' component under the edges (i, j), on top of ``root``."""
+    root = np.arange(n) if root is None else root
+    while len(i):
+        before = root.copy()
+        low = np.minimum(root[i], root[j])
+        for end in (i, j):
+            np.minimum.at(root, root[end], low)
+            np.minimum.at(root, end, low)
+        root = np.minimum(root, root[root])
+        if (root == before).all():
+            break
+    return root
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); a component is its smallest node.
 

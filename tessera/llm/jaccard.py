@@ -3,25 +3,26 @@
 Two documents link when the Jaccard similarity of their sets of word shingles is at least the
 threshold t. Documents with equal sets form one class; the join works on classes.
 
-*Prefixes.* Shingles are ordered by hash. Of a set of n, let p = n - ceil(t n) + 1. If two sets are
-similar, then for any l their first p + l - 1 shingles share at least l. Each class keeps its
-first p + e shingles, where e is room for growth.
-
-*Adaptive matches.* A shingle's frequency is its number of classes, counted over all kept
-shingles. Shingles of more than ``HEAVY`` classes are heavy. A class starts with l = 1 and
-lengthens its prefix while the prefix holds heavy shingles, and further with the candidates that its
-other shingles are expected to bring: with h heavy shingles among the first p + l - 1, at least
-k = l - h of the shingles shared with a similar class are not heavy. So only shingles that are
-not heavy need to meet, and k matches are required before a pair is verified; of a pair the
-smaller requirement holds. A class whose room does not suffice (almost all of it is heavy, as
-in large groups of near copies) puts all that it kept into the index, heavy ones too, with k =
-1. That keeps the join exact: of two such classes the first p shingles meet, and for one such
-class and another the whole argument above holds, because its kept shingles reach further.
-
-*Verification without all pairs.* In the first rounds each index list pairs its members only with
+*Order.* Shingles are ordered by hash, but frequent ones come last, by estimated frequency. How many
+classes share a shingle is estimated from one class in ``SAMPLE``; the ``FREQUENT`` most
+frequent shingles of the sample, at most, are broadcast with their estimates. Any order gives the same
+result; this one keeps passages that many documents share out of the index.
+
+*Adaptive multi-match prefixes.* Of a set of n, let p = n - ceil(t n) + 1. If two sets are similar, then
+for any l their first p + l - 1 shingles share at least l. A class starts with l = 1 and lengthens its
+prefix with the number of candidates that its shingles are estimated to bring, and then requires l
+shared shingles before verification; of a pair the smaller requirement holds.
+
+*Rare shingles.* Lists of rare shingles are short. In the first rounds each list pairs its members only with
 one centre, chosen anew in each round. Verified pairs join classes to components, and a list only
-pairs members of different components. The last round pairs what is still apart. So a group of m
-near copies costs about m verifications, and no link between different components is lost.
+pairs members of different components. The last round pairs what is still apart. Only a class whose
+prefix holds frequent shingles may share fewer rare ones than l; it requires one.
+
+*Frequent shingles.* Their lists are long: a group of near copies shares all of them, and its members need not
+be similar to each other. Classes that meet in such lists form families. A family is cut into size
+classes (similar sets are in the same or neighbouring ones) and blocks; each pair of blocks is
+one task, which counts all common shingles by matrix products and returns for each class an edge to its
+component in the task. So a family of m classes gives about m rows, never its pairs.
 
 Defined results for odd input: null text and texts without words have an empty set (n_shingles 0)
 and link with nothing; rows with equal doc_id are separate texts that share an id; rows
@@ -35,21 +36,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, table
-from tessera.llm.components import components
+from tessera.llm.common import release, rows_by_key, scratch, shuffle_partitions, table
+from tessera.llm.components import components, local_roots
 from tessera.llm.shingles import mix, shingle_set
 
 #: The threshold as a fraction, so that borderline pairs are decided in integers.
 NUMERATOR, DENOMINATOR = 80, 100
-#: Classes that may share a shingle before it counts as heavy.
+#: Estimated classes from which on a shingle counts as frequent.
 HEAVY = 40
+#: One class in so many tells shingle frequencies; the most frequent shingles that are broadcast (16 bytes each).
+SAMPLE, FREQUENT = 16, 500_000
+#: Shingles of the sets in a block of a family, and sets in it at most.
+BLOCK_SHINGLES, BLOCK_SETS = 600_000, 2048
 #: Rounds that compare with centres only, before what is left is compared.
 STAR_ROUNDS = 2
-#: Extra matches that a long prefix may require.
+#: Matches that a prefix may require at most.
 MOST_MATCHES = 4
+#: Hash buckets of a broadcast that thins out rows before they are shuffled (an exact join follows).
+BUCKETS = 1 << 18
 
 
 def least_common(n: int) -> int:
@@ -57,78 +64,215 @@ def least_common(n: int) -> int:
     return -(-n * NUMERATOR // DENOMINATOR)
 
 
-def kept(n: int) -> int:
-    """p and the room for a longer prefix."""
-    p = n - least_common(n) + 1
-    return min(n, p + p // 2 + 8)
+def digests(s: np.ndarray) -> tuple[int, int]:
+    first = mix(s + np.uint64(11)).sum(dtype=np.uint64)
+    second = mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)
+    return int(first.astype(np.int64)), int(second.astype(np.int64))
+
+
+def signature(s: np.ndarray) -> bytes:
+    """How many shingles fall into each of about n / 4 ranges of hashes; empty if a count exceeds a byte."""
+    bits = max(4, min(20, int(len(s)).bit_length() - 2))
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def may_link(a: bytes, b: bytes, n_a: int, n_b: int) -> bool:
+    """False only if the ranges' counts show that two sets share too little."""
+    if not a or not b:
+        return True
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    width = min(len(x), len(y))
+    common = int(np.minimum(x.reshape(width, -1).sum(axis=1), y.reshape(width, -1).sum(axis=1)).sum())
+    return common * DENOMINATOR >= (n_a + n_b - common) * NUMERATOR
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
 
 
 def summaries(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, two digests of the set, the first shingles."""
+    """Per document: doc_id, n_shingles, two digests of the set, its signature; sampled classes also all their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                sizes, first, second, prefix = [], [], [], []
-                for text in part.column(1):
-                    s = shingle_set(text.as_py())
-                    sizes.append(len(s))
-                    first.append(int(mix(s + np.uint64(11)).sum(dtype=np.uint64).astype(np.int64)))
-                    second.append(int(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
-                    prefix.append(s[: kept(len(s))].view(np.int64))
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in prefix]))).astype(np.int32)
-                values = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                        pa.array(second, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    ],
-                    ["doc_id", "n_shingles", "d1", "d2", "prefix"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, prefix array<long>")
-
-
-def _index(classes: DataFrame) -> DataFrame:
-    """The index: shingle, cls, n, k (matches required)."""
-    exploded = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    often = exploded.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    live = exploded.join(often, "shingle")
-    # a class's live shingles: bounded by its own prefix
-    per_class = live.groupBy("cls", "n").agg(F.collect_list(F.struct("pos", "shingle", "df")).alias("live"))
+            sizes, first, second, some, signs = [], [], [], [], []
+            for text in batch.column(1):
+                s = shingle_set(text.as_py())
+                n = len(s)
+                d1, d2 = digests(s)
+                sizes.append(n)
+                first.append(d1)
+                second.append(d2)
+                signs.append(signature(s))
+                some.append(s.view(np.int64) if d1 % SAMPLE == 0 else none)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
+                    pa.array(second, pa.int64()), _lists(some), pa.array(signs, pa.binary()),
+                ],
+                ["doc_id", "n_shingles", "d1", "d2", "some", "sign"],
+            )
+
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, some array<long>, sign binary"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The sample's most frequent shingles, ascending, with estimated numbers of classes."""
+    seen = classes.select(F.explode("some").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    pdf = seen.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
+    keys, n = pdf["shingle"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64) * SAMPLE
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def prefix(s: np.ndarray, keys: np.ndarray, estimate: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(rare shingles, frequent ones, matches required) that a set puts into the index."""
+    n = len(s)
+    p = n - least_common(n) + 1
+    at = np.minimum(np.searchsorted(keys, s), max(0, len(keys) - 1))
+    classes = np.where(keys[at] == s, estimate[at], 1) if len(keys) else np.ones(n, np.int64)
+    heavy = classes > HEAVY
+    order = np.lexsort((s, np.where(heavy, classes, 0)))
+    cost = float((classes[order[:p]] - 1).sum()) / p
+    matches = 1 + min(MOST_MATCHES - 1, int(np.log2(1 + cost)), n - p)
+    own = order[: p + matches - 1]
+    rare, often = own[~heavy[own]], own[heavy[own]]
+    return s[rare], s[often], 1 if len(often) else matches
+
+
+def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The index: shingle, cls, n, k, often; rare shingles of one class only are left out."""
+    held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, estimate = held.value
         for batch in batches:
-            out: list[tuple] = []
-            for cls, n, live in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                p = n - least_common(n) + 1
-                # no longer than what the smallest similar set keeps
-                least = least_common(n)
-                room = min(kept(n), p + kept(least) - (least - least_common(least) + 1))
-                pos = np.array([x["pos"] for x in live])
-                df = np.array([x["df"] for x in live])
-                shingle = np.array([x["shingle"] for x in live], dtype=np.int64)
-                order = np.argsort(pos)
-                pos, df, shingle = pos[order], df[order], shingle[order]
-                heavy = df > HEAVY
-                # heavy shingles among the first p + l - 1, for each l
-                upto = np.searchsorted(pos[heavy], np.arange(p, room + 1))
-                matches = np.arange(1, room - p + 2) - upto
-                # candidates that the light shingles of the plain prefix are expected to bring, per shingle of it
-                cost = (df[~heavy & (pos < p)] - 1).sum() / p
-                want = 1 + min(MOST_MATCHES - 1, int(np.log2(1 + cost)))
-                fit = [np.flatnonzero(matches >= k) for k in range(want, 0, -1)]
-                found = next(((want - i, f[0]) for i, f in enumerate(fit) if len(f)), None)
-                if found is None:
-                    out += [(int(s), cls, n, 1) for s in shingle]
-                else:
-                    k, more = found
-                    out += [(int(s), cls, n, k) for s in shingle[~heavy & (pos < p + more)]]
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["shingle", "cls", "n", "k"])
+            ids, sizes, first, required, rare, often = [], [], [], [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = shingle_set(text.as_py())
+                if not len(s) or doc_id is None:
+                    continue
+                a, b, k = prefix(s, keys, estimate)
+                ids.append(doc_id)
+                sizes.append(len(s))
+                first.append(digests(s)[0])
+                required.append(k)
+                rare.append(a.view(np.int64))
+                often.append(b.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.int64()) for x in (ids, sizes, first, required)), _lists(rare), _lists(often)],
+                ["doc_id", "n_shingles", "d1", "k", "rare", "often"],
+            )
+
+    schema = "doc_id long, n_shingles long, d1 long, k long, rare array<long>, often array<long>"
+    rows = docs.select("doc_id", "text").mapInArrow(run, schema)
+    # copies leave here; a class that several equal rows of one id stand for is taken once below
+    rows = rows.join(chosen, ["doc_id", "n_shingles", "d1"]).select("cls", F.col("n_shingles").alias("n"), "k", "rare", "often")
+    def marked(column: str, often: bool):
+        return F.transform(column, lambda x: F.struct(x.alias("shingle"), F.lit(often).alias("often")))
+
+    each = rows.select("cls", "n", "k", F.explode(F.concat(marked("rare", False), marked("often", True))).alias("x")).select("cls", "n", "k", "x.*")
+    # lists of rare shingles are short, so one exchange serves to count and to keep; frequent ones are only passed on
+    spread = F.when(F.col("often"), F.pmod(F.xxhash64("cls"), F.lit(1024))).otherwise(0)
+    low, high = (f("cls").over(Window.partitionBy("shingle", "spread")) for f in (F.min, F.max))
+    kept = each.withColumn("spread", spread).withColumns({"low": low, "high": high}).where("often or low < high")
+    return kept.select("shingle", "cls", "n", "k", "often").distinct()
+
+
+def _counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of common shingles of the sets at ``a`` with those at ``b``."""
+    tokens = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    row, col = np.full(len(sets), -1), np.full(len(sets), -1)
+    row[a], col[b] = np.arange(len(a)), np.arange(len(b))
+    # shingles of many sets by dense products over slices of the shingles
+    rank = np.full(len(times), -1)
+    many = np.flatnonzero(times >= 24)
+    for at in range(0, len(many), 2048):
+        part = many[at : at + 2048]
+        rank[:] = -1
+        rank[part] = np.arange(len(part))
+        here = np.flatnonzero(rank[token] >= 0)
+        x, y = np.zeros((len(a), len(part)), np.float32), np.zeros((len(b), len(part)), np.float32)
+        for side, place in ((x, row), (y, col)):
+            own = here[place[owner[here]] >= 0]
+            side[place[owner[own]], rank[token[own]]] = 1
+        out += x @ y.T
+    # the others pair by pair: below 24 sets each
+    few = np.flatnonzero((times[token] > 1) & (times[token] < 24))
+    few = few[np.argsort(token[few], kind="stable")]
+    for gap in range(1, 24):
+        left, right = few[:-gap], few[gap:]
+        same = token[left] == token[right]
+        if not same.any():
+            break
+        for u, v in ((owner[left[same]], owner[right[same]]), (owner[right[same]], owner[left[same]])):
+            ok = (row[u] >= 0) & (col[v] >= 0)
+            np.add.at(out, (row[u[ok]], col[v[ok]]), 1)
+    return out
+
+
+def _families(index: DataFrame, texts) -> DataFrame:
+    """(a, b): edges that join the linked classes of each family."""
+    often = index.where("often").select("shingle", "cls", "n")
+    centre = often.groupBy("shingle").agg(F.min("cls").alias("b"), F.count("*").alias("m")).where("m > 1").select("shingle", "b")
+    met = scratch(often.join(centre, "shingle").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct(), "met")
+    family = components(met).select(F.col("node").alias("cls"), F.col("component").alias("family"))
+    sizes = index.where("often").select("cls", "n").distinct()
+    # similar sets differ by one size class at most
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("long")
+    member = scratch(sizes.join(family, "cls").withColumn("size", step), "family")
+    per_block = F.greatest(F.lit(16), F.least(F.lit(BLOCK_SETS), F.lit(BLOCK_SHINGLES) / F.max("n")))
+    blocks = member.groupBy("family", "size").agg(F.ceil(F.count("*") / per_block).cast("int").alias("own"))
+    along = Window.partitionBy("family").orderBy("size")  # size classes of a family are few
+    near = lambda f, d: F.coalesce(F.when(f("size").over(along) == F.col("size") + d, f("own").over(along)), F.lit(0))
+    blocks = blocks.withColumns({"before": near(F.lag, -1), "after": near(F.lead, 1)})
+    placed = member.join(blocks, ["family", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own")).cast("int"))
+
+    def cells(count: str, size, cell, side):
+        """Structs of the tasks that pair a set's block with ``count`` others."""
+        numbers = F.when(F.col(count) > 0, F.sequence(F.lit(0), F.greatest(F.col(count) - 1, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
+        name = lambda i: F.concat_ws("/", "family", size.cast("string"), *(c.cast("string") for c in cell(i)))
+        return F.transform(numbers, lambda i: F.struct(name(i).alias("cell"), side(i).alias("side")))
+
+    own = F.col("block")
+    inner = cells("own", F.col("size"), lambda i: (F.lit("in"), F.least(own, i), F.greatest(own, i)), lambda i: F.when(own == i, 3).when(own < i, 1).otherwise(2))
+    up = cells("after", F.col("size"), lambda i: (F.lit("up"), own, i), lambda i: F.lit(1))
+    down = cells("before", F.col("size") - 1, lambda i: (F.lit("up"), i, own), lambda i: F.lit(2))
+    dealt = placed.select("cls", F.explode(F.concat(inner, up, down)).alias("x")).select("cls", "x.cell", "x.side")
+    rows = dealt.join(texts(member.select("cls")), "cls")
 
-    return per_class.mapInArrow(run, "shingle long, cls long, n long, k long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in rows_by_key(batches, "cell"):
+            if group.num_rows < 2:
+                continue
+            cls, side = group["cls"].to_numpy(), group["side"].to_numpy()
+            sets = [shingle_set(t) for t in group["text"].to_pylist()]
+            size = np.array([len(x) for x in sets])
+            a, b = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+            common = _counts(sets, a, b).astype(np.int64)
+            either = size[a][:, None] + size[b][None, :] - common
+            i, j = np.nonzero(common * DENOMINATOR >= either * NUMERATOR)
+            root = local_roots(len(cls), a[i], b[j])
+            some = np.flatnonzero(root != np.arange(len(cls)))
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(cls[some]), pa.array(cls[root[some]])], ["a", "b"])
+
+    n = shuffle_partitions(index.sparkSession)
+    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+
+
+def _thinned(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``keys``: by a broadcast of at most ``BUCKETS`` hash buckets."""
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(BUCKETS))
+    some = keys.select(bucket.alias("_bucket")).distinct()
+    return df.withColumn("_bucket", bucket).join(F.broadcast(some), "_bucket", "left_semi").drop("_bucket")
 
 
 def _sized(a: str, b: str):
@@ -136,12 +280,25 @@ def _sized(a: str, b: str):
     return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, common, union) of the pairs, from their whole texts."""
-    nodes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    some = scratch(texts.join(nodes, "cls"), "texts")
-    of_b = some.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    of_a = some.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
+def _plausible(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs that their signatures, a small part of the texts, do not rule out."""
+    side = lambda x: signs.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
+    rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "sign_a", "sign_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            keep = [may_link(x, y, n, m) for n, m, x, y in zip(*columns[2:])]
+            part = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, texts) -> DataFrame:
+    """(a, b, common, either) of the pairs, from their whole texts; ``texts`` gives those of some classes."""
+    of_b = texts(pairs.select(F.col("b").alias("cls"))).select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
+    of_a = texts(pairs.select(F.col("a").alias("cls"))).select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     # b's text travels with the pair, a's is joined last: pairs of one centre come together
     rows = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
 
@@ -172,27 +329,28 @@ def _agreed(meetings: DataFrame) -> DataFrame:
     return met.where("m >= k").select("a", "b")
 
 
-def linked_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, component) of the classes that link with another."""
-    index = scratch(_index(classes), "index")
-    member = done = None
+def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame:
+    """(node, component) of the classes that link with another. signs: cls, n, sign."""
+    spark = index.sparkSession
+    member = components(scratch(_families(index, texts), "families"))
+    rare = scratch(index.where("not often").drop("often"), "rare")
+    done = None
     for turn in range(STAR_ROUNDS + 1):
-        named = index.withColumn("component", F.col("cls"))
-        if member is not None:
-            named = index.join(member, index["cls"] == member["node"], "left").drop("node")
-            named = named.withColumn("component", F.coalesce("component", "cls"))
+        release(spark)
+        named = rare.join(member, rare["cls"] == member["node"], "left").drop("node")
+        named = named.withColumn("component", F.coalesce("component", "cls"))
         order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls", "n", "k", "component")
         lists = named.groupBy("shingle").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("c")
         )
-        lists = lists.where("low < high").select("shingle", "c")
+        # a list whose members are in one component has nothing more to tell
+        named = scratch(named.join(lists.where("low < high").select("shingle", "c"), "shingle"), "lists")
+        rare = named.select("shingle", "cls", "n", "k")
         if turn < STAR_ROUNDS:
-            mine = lists.select("shingle", *(F.col(f"c.{x}").alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
-            meet = named.join(mine, "shingle")
+            meet = named.select("*", *(F.col(f"c.{x}").alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
         else:
-            rest = scratch(named.join(lists.select("shingle"), "shingle"), "rest")
-            mine = rest.select("shingle", *(F.col(x).alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
-            meet = rest.join(mine, "shingle").where(F.col("cls") > F.col("cls_a"))
+            mine = named.select("shingle", *(F.col(x).alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
+            meet = named.join(mine, "shingle").where(F.col("cls") > F.col("cls_a"))
         meet = meet.where((F.col("component") != F.col("component_a")) & _sized("n", "n_a"))
         pairs = _agreed(meet.select(F.col("cls_a").alias("a"), "k_a", F.col("cls").alias("b"), F.col("k").alias("k_b")))
         if done is not None:
@@ -201,13 +359,10 @@ def linked_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
         pairs = scratch(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        verified = scratch(_verified(pairs, texts), "verified")
         done = pairs if done is None else done.union(pairs)
-        links = _links(verified)
-        if member is not None:
-            links = links.union(member.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        member = components(links)
-    return member if member is not None else index.select(F.col("cls").alias("node"), F.col("cls").alias("component")).limit(0)
+        links = scratch(_links(_verified(scratch(_plausible(pairs, signs), "plausible"), texts)), "links")
+        member = components(links.union(member.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    return member
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -215,43 +370,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = scratch(summaries(docs), "summaries")
     keys = ["n_shingles", "d1", "d2"]
     # copies meet here; partial aggregation leaves one row per task of a large group
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"))
-    classes = scratch(classes.select(*keys, "least", "prefix", F.xxhash64(*keys).alias("cls")), "classes")
-    chosen = classes.select(F.col("least").alias("doc_id"), *keys, "cls")
-    texts = _texts(docs.select("doc_id", "text"), chosen)
-    member = linked_classes(classes.select("cls", F.col("n_shingles").alias("n"), "prefix"), texts)
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(
+        F.min("doc_id").alias("least"), F.first("some").alias("some"), F.first("sign").alias("sign")
+    )
+    classes = scratch(classes.select(*keys, "least", "some", "sign", F.xxhash64(*keys).alias("cls")), "classes")
+    chosen = classes.select(F.col("least").alias("doc_id"), "n_shingles", "d1", "cls")
+    index = scratch(_index(docs, chosen, frequent(classes)), "index")
+    signs = classes.select("cls", F.col("n_shingles").alias("n"), "sign")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1")
+    member = linked_classes(index, signs, _texts(docs, chosen, not repeated.isEmpty()))
     named = classes.select(*keys, "cls", "least").join(member, F.col("cls") == F.col("node"), "left")
     named = named.withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    per_class = named.join(smallest, "component").select(*keys, "component_id")
-    out = rows.select("doc_id", *keys).join(per_class, keys, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    # classes that stand alone need no join: they are known by their own smallest id
+    moved = named.join(smallest, "component").where("component_id <> least").select(*keys, "component_id")
+    copied = rows.where("doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1")
+    known = copied.select(*keys, "least").join(moved, keys, "full").select(*keys, F.coalesce("component_id", "least").alias("component_id"))
+    out = rows.select("doc_id", *keys).join(known, keys, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """cls, text: the text of each class's smallest document.
+def _texts(docs: DataFrame, chosen: DataFrame, repeated: bool):
+    """A function from some classes (cls) to (cls, text): the text of each class's smallest document.
 
-    Rows that share an id may hold other texts; digests tell the right one, and one of equals stays.
+    Rows that share an id (``repeated``) may hold other texts; digests tell the right one, and one of equals stays.
     """
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1 and doc_id is not null").limit(1)
-    by_id = docs.join(chosen.select("doc_id", "cls"), "doc_id")
-    if repeated.isEmpty():
-        return by_id.select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
-                s = shingle_set(batch.column(4)[i].as_py())
-                first = int(mix(s + np.uint64(11)).sum(dtype=np.uint64).astype(np.int64))
-                if first == batch.column(2)[i].as_py() and len(s) == batch.column(1)[i].as_py():
-                    keep.append(i)
-            part = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(3), part.column(4)], ["cls", "text"])
-
-    wide = docs.join(chosen, "doc_id").select("doc_id", "n_shingles", "d1", "cls", "text")
-    return wide.mapInArrow(run, "cls long, text string").dropDuplicates(["cls"])
+                s = shingle_set(batch.column(3)[i].as_py())
+                keep.append(len(s) == batch.column(1)[i].as_py() and digests(s)[0] == batch.column(2)[i].as_py())
+            part = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], ["cls", "text"])
+
+    def of(classes: DataFrame) -> DataFrame:
+        wanted = scratch(chosen.join(classes.distinct(), "cls", "left_semi"), "wanted")
+        own = _thinned(docs.select("doc_id", "text"), wanted, "doc_id").join(wanted, "doc_id").select("cls", "n_shingles", "d1", "text")
+        return own.mapInArrow(run, "cls long, text string").dropDuplicates(["cls"]) if repeated else own.select("cls", "text")
+
+    return of
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
