@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import rows_by_key, scratch, shuffle_partitions, table
-from tessera.llm.components import components
+from tessera.llm.components import components, local_roots
 
 COSINE = 0.93
 RECALL = 0.995
@@ -51,15 +51,15 @@ def directions(dim: int, bits: int, tables: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).standard_normal((dim, bits * tables))
 
 
-def _signed(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
-    """One row per vector and table: bucket, key, vector, signatures."""
+def _signed(vectors: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
+    """One row per vector and table: bucket, key, copies, vector (components of numpy type ``kind``), signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keys, labels = part.column(0).to_numpy(), part.column(1).to_pylist()
-                vecs = part.column(2).to_pylist()
+                keys, labels, copies = (part.column(i).to_pylist() for i in range(3))
+                vecs = part.column(3).to_pylist()
                 out: list[tuple] = []
                 for dim in sorted({len(v) for v in vecs}):
                     here = [i for i, v in enumerate(vecs) if len(v) == dim]
@@ -68,13 +68,15 @@ def _signed(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
                     sig = signs @ (1 << np.arange(bits))
                     for row, i in enumerate(here):
                         own = sig[row].astype("<i4").tobytes()
-                        payload = x[row].astype("<f8").tobytes()
-                        out += [(f"{labels[i]}/{dim}/{t}/{sig[row, t]}", int(keys[i]), payload, own) for t in range(tables)]
+                        payload = x[row].astype(kind).tobytes()
+                        out += [(f"{labels[i]}/{dim}/{t}/{sig[row, t]}", keys[i], copies[i], payload, own) for t in range(tables)]
                 cols = list(zip(*out))
-                types = (pa.string(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["bucket", "key", "vec", "sigs"])
+                types = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                names = ["bucket", "key", "copies", "vec", "sigs"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    return vectors.mapInArrow(run, "bucket string, key long, vec binary, sigs binary")
+    columns = vectors.select("key", "label", "copies", "embedding")
+    return columns.mapInArrow(run, "bucket string, key long, copies long, vec binary, sigs binary")
 
 
 def _blocked(signed: DataFrame) -> DataFrame:
@@ -95,10 +97,10 @@ def _blocked(signed: DataFrame) -> DataFrame:
         ),
     )
     one = F.array(F.struct(F.col("bucket").alias("task"), F.lit(3).alias("side")))
-    return rows.withColumn("x", F.explode(F.when(F.col("n").isNull(), one).otherwise(each))).select("x.task", "x.side", "bucket", "key", "vec", "sigs")
+    return rows.withColumn("x", F.explode(F.when(F.col("n").isNull(), one).otherwise(each))).select("x.task", "x.side", "bucket", "key", "copies", "vec", "sigs")
 
 
-def _compare(tasks: DataFrame, cosine: float) -> DataFrame:
+def _compare(tasks: DataFrame, cosine: float, kind: str) -> DataFrame:
     """Per task and vector: key, other (an edge towards its component), links (rows that it links with, copies
     counted)."""
 
@@ -107,7 +109,7 @@ def _compare(tasks: DataFrame, cosine: float) -> DataFrame:
             t = int(group["bucket"][0].as_py().split("/")[-2])
             side, key = group["side"].to_numpy(), group["key"].to_numpy()
             weight = group["copies"].to_numpy().astype(np.float64)
-            x = np.frombuffer(b"".join(group["vec"].to_pylist()), dtype="<f8").reshape(len(key), -1)
+            x = np.frombuffer(b"".join(group["vec"].to_pylist()), dtype=kind).reshape(len(key), -1).astype(np.float64)
             sigs = np.frombuffer(b"".join(group["sigs"].to_pylist()), dtype="<i4").reshape(len(key), -1)
             x = x / np.sqrt((x * x).sum(axis=1))[:, None]
             a, b = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
@@ -126,14 +128,7 @@ def _compare(tasks: DataFrame, cosine: float) -> DataFrame:
                     ei, ej = i, j
                 np.add.at(links, ei, weight[ej])
                 np.add.at(links, ej, weight[ei])
-                while True:  # minimum labels inside the bucket; all its links take part
-                    low = np.minimum(root[i], root[j])
-                    before = root.copy()
-                    np.minimum.at(root, root[i], low)
-                    np.minimum.at(root, root[j], low)
-                    root = np.minimum(root, root[root])
-                    if (root == before).all():
-                        break
+                root = local_roots(len(key), i, j, root)  # all links of the bucket take part
             some = np.flatnonzero((links > 0) | (root != np.arange(len(key))))
             if len(some):
                 yield pa.RecordBatch.from_arrays(
@@ -169,9 +164,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     if largest is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     bits, tables = plan(largest, cosine)
-    signed = _signed(distinct.select("key", "label", "embedding"), bits, tables)
-    tasks = _blocked(signed).join(distinct.select("key", "copies"), "key")
-    compared = scratch(_compare(tasks, cosine), "compared")
+    # components travel as they are stored; sums are in double precision
+    kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+    tasks = _blocked(_signed(distinct, bits, tables, kind))
+    compared = scratch(_compare(tasks, cosine, kind), "compared")
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
     edges = compared.where("key <> other").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
     member = components(edges)
