@@ -156,9 +156,18 @@ def box_summary(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 
 def share_of(df: DataFrame, whole: Sequence[str], value: str, out: str = "share") -> DataFrame:
-    """Each row's part of its group's sum; null for an empty sum."""
-    total = F.sum(value).over(Window.partitionBy(*whole) if whole else Window.partitionBy(F.lit(0)))
-    return df.withColumn(out, F.when(total != 0, F.col(value) / total))
+    """Each row's part of its group's sum (of the table's without groups); null for an empty sum.
+
+    Sums are aggregated on the map side and joined back, so a large group needs no task of its own.
+    """
+    totals = df.groupBy(*whole).agg(F.sum(value).alias("_total"))
+    if not whole:
+        joined = df.crossJoin(F.broadcast(totals))  # one row
+    else:
+        same = totals.select(*(F.col(c).alias(f"_w_{c}") for c in whole), "_total")
+        on = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in whole]
+        joined = df.join(same, on).drop(*(f"_w_{c}" for c in whole))
+    return joined.withColumn(out, F.when(F.col("_total") != 0, F.col(value) / F.col("_total"))).drop("_total")
 
 
 def on_grid(df: DataFrame, axes: dict[str, DataFrame], values: Sequence[str]) -> DataFrame:

@@ -19,19 +19,31 @@ def _upto(group: Sequence[str], *order: str):
     return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def merge(df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, closed: bool = False) -> DataFrame:
+def merge(
+    df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, closed: bool = False, chunk: int | None = None
+) -> DataFrame:
     """Gaps and islands: (group, start, end, members) of merged intervals.
 
     Half-open intervals that touch merge; ``gap`` bridges that much more. ``closed`` intervals
-    merge when adjacent (start <= end + 1).
+    merge when adjacent (start <= end + 1). With ``chunk``, intervals that start in the same stretch of
+    that width merge first, each stretch in a task of its own; a group that holds a large part of all
+    rows then reaches the last window as few islands.
     """
-    reach = F.max(end).over(_before(group, start, end)) + (gap + (1 if closed else 0))
-    first = F.coalesce((F.col(start) > reach).cast("int"), F.lit(1))
-    marked = df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_first", first)
+    slack = gap + (1 if closed else 0)
+    rows = df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("members", F.lit(1).cast("long"))
+    if chunk:
+        stretched = rows.withColumn("_chunk", F.floor(F.col(start) / chunk))
+        rows = _islands(stretched, [*group, "_chunk"], start, end, slack).drop("_chunk")
+    return _islands(rows, group, start, end, slack)
+
+
+def _islands(rows: DataFrame, group: Sequence[str], start: str, end: str, slack: int) -> DataFrame:
+    reach = F.max(end).over(_before(group, start, end)) + slack
+    marked = rows.withColumn("_first", F.coalesce((F.col(start) > reach).cast("int"), F.lit(1)))
     island = marked.withColumn("_island", F.sum("_first").over(_upto(group, start, end)))
     return (
         island.groupBy(*group, "_island")
-        .agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("members")).drop("_island")
+        .agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("members").alias("members")).drop("_island")
     )
 
 

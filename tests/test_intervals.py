@@ -51,6 +51,9 @@ def test_random_lines_against_sets(spark):
         for at in range(s, e):
             got[g, at] = n
     assert got == {k: len(v) for k, v in want.items()}
+    for closed, gap in ((False, 0), (True, 0), (False, 3)):
+        whole, cut = (I.merge(df, ["g"], closed=closed, gap=gap, chunk=c).select("g", "start", "end", "members") for c in (None, 7))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
     covered = {r["g"]: r["covered"] for r in I.union_length(df, ["g"]).collect()}
     assert covered == {g: len([1 for (h, _) in want if h == g]) for g in covered}
 
