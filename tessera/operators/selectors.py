@@ -63,6 +63,6 @@ def range_overlap(df: DataFrame, group: Sequence[str], flag: str, score: str, le
     both = F.col("l1").isNotNull() & F.col("l0").isNotNull()
     low, high = F.when(both, F.greatest("l1", "l0")), F.when(both, F.least("h1", "h0"))
     span = F.col("hi") - F.col("lo")
-    s = s.withColumns({"overlap_low": low, "overlap_high": high})
-    share = F.when(span > 0, F.greatest(F.col("overlap_high") - F.col("overlap_low"), F.lit(0.0)) / span)
+    s = s.withColumns({"overlap_low": low, "overlap_high": high})  # greatest and least pass over nulls
+    share = F.when(both & (span > 0), F.greatest(F.col("overlap_high") - F.col("overlap_low"), F.lit(0.0)) / span)
     return s.select(*group, "overlap_low", "overlap_high", share.alias("overlap_fraction"), F.coalesce(share < least, F.lit(False)).alias("overlap_warning"))

@@ -250,7 +250,7 @@ def weighted_ecdf(df: DataFrame, group: Sequence[str], focal: str, role: str, sc
     # one pass: each score goes to the first grid point that is not below it, then running sums
     start = ends.select(*group, F.col("_q")[0].alias("_lo"), step.alias("_step"))
     placed = rows.join(F.broadcast(start) if not group else start, list(group)) if group else rows.crossJoin(F.broadcast(start))
-    k = F.when(F.col("_step") > 0, F.ceil((F.col(score) - F.col("_lo")) / F.col("_step"))).otherwise(F.when(F.col(score) <= F.col("_lo"), 0).otherwise(points))
+    k = F.when(F.col("_step") > 0, F.ceil((F.col(score) - F.col("_lo")) / F.col("_step") - 1e-9)).otherwise(F.when(F.col(score) <= F.col("_lo"), 0).otherwise(points))
     cells = placed.groupBy(*group, role, F.greatest(k, F.lit(0)).cast("int").alias("k")).agg(F.sum("_w").alias("_w"))
     roles = rows.groupBy(*group, role).agg(F.sum("_w").alias("_total"))
     base = grid.join(roles, list(group)) if group else grid.crossJoin(F.broadcast(roles))

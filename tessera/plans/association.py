@@ -103,10 +103,10 @@ def matching_rate(spark, sf_dir):
 @query("weighted_ecdf", f"""WITH {_MATCHED}, w AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY g, focal, role) AS w FROM m),
 q AS (SELECT g, quantile_cont(score, 0.005) AS lo, (quantile_cont(score, 0.995) - quantile_cont(score, 0.005)) / 20 AS step FROM m GROUP BY 1),
 grid AS (SELECT g, lo, step, unnest(range(0, 21)) AS k FROM q)
-SELECT grid.g, role, k::INTEGER AS k, round(lo + k * step, 6) AS x, round(sum(CASE WHEN k >= ceil((score - lo) / step) THEN w ELSE 0 END) / sum(w), 6) AS fraction FROM grid JOIN w ON w.g = grid.g GROUP BY grid.g, role, k, lo, step""")
+SELECT grid.g, role, k::INTEGER AS k, round(lo + k * step, 3) AS x, round(sum(CASE WHEN k >= ceil((score - lo) / step - 1e-9) THEN w ELSE 0 END) / sum(w), 6) AS fraction FROM grid JOIN w ON w.g = grid.g GROUP BY grid.g, role, k, lo, step""")
 def weighted_ecdf(spark, sf_dir):
     out = stats.weighted_ecdf(_matched(spark, sf_dir), ["g"], "focal", "role", "score", 21)
-    return out.withColumns({"x": F.round("x", 6), "fraction": F.round("fraction", 6)})
+    return out.withColumns({"x": F.round("x", 3), "fraction": F.round("fraction", 6)})
 
 
 @query("paired_bootstrap")
