@@ -82,13 +82,13 @@ def range_overlap(spark, sf_dir):
 
 def _matched(spark, sf_dir):
     """Suppliers as focals: their first line is observed, up to five more are controls."""
-    rank = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber"))
+    rank = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_extendedprice"))
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice").withColumn("n", rank).where("n <= 6")
     role = F.when(F.col("n") == 1, "observed").otherwise("control")
     return rows.select((F.col("l_suppkey") % 3).alias("g"), F.col("l_suppkey").alias("focal"), role.alias("role"), F.col("l_extendedprice").alias("score"))
 
 
-_MATCHED = """ranked AS (SELECT l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS n FROM lineitem),
+_MATCHED = """ranked AS (SELECT l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS n FROM lineitem),
 m AS (SELECT l_suppkey % 3 AS g, l_suppkey AS focal, CASE WHEN n = 1 THEN 'observed' ELSE 'control' END AS role, l_extendedprice AS score FROM ranked WHERE n <= 6)"""
 
 
