@@ -2,49 +2,23 @@
 
 from __future__ import annotations
 
-import atexit
+import contextlib
+import ctypes
 import gc
-import tempfile
-import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-_SCRATCH: list[tuple[SparkSession, str]] = []
-_LOCAL: list[str] = []
-
+from tessera.storage import drop_scratch, scratch, shared_dir  # noqa: F401
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="tessera-scratch-"))
-    return _LOCAL[0]
-
-
-def scratch(df: DataFrame, tag: str) -> DataFrame:
-    """Cuts lineage: writes ``df`` as Parquet into shared storage and reads it back.
-
-    A lost executor costs nothing that was written. The files are deleted when the
-    driver ends (or by ``drop_scratch``).
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _SCRATCH.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that nothing refers to any more.
 
@@ -54,17 +28,17 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def drop_scratch() -> None:
-    while _SCRATCH:
-        spark, path = _SCRATCH.pop()
-        try:
-            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-        except Exception:  # the session has ended; shared storage keeps the files
-            return
+def least_hashed(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """The ``n`` rows of least hash of the given columns (about, if hashes are equal): a sample that does not
+    depend on partitions.
 
-
-atexit.register(drop_scratch)
+    Rows are first thinned out by a limit on the hash that about 2 n pass, so that tasks rank few of them.
+    """
+    total = df.count()
+    h = F.xxhash64(*columns)
+    if total > 4 * n:
+        df = df.where(h < F.lit(-(1 << 63) + (1 << 64) * 2 * n // total))
+    return df.orderBy(h, *columns).limit(n)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -85,6 +59,33 @@ def schema_with(df: DataFrame, **added: str) -> StructType:
     return StructType([*df.schema.fields, *(StructField(name, DataType.fromDDL(kind)) for name, kind in added.items())])
 
 
+#: Rows of an Arrow batch: texts are large, and a task holds a batch several times.
+ARROW_ROWS = 256
+
+
+def trim() -> None:
+    """Gives memory that a worker has freed back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` over small batches; the worker's memory is trimmed when a task ends."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(lean, schema)
+
+
 def rows_by_key(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Yields one table per run of equal ``key`` in batches that are sorted by it.
 

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import schema_with, table
+from tessera.llm.common import arrow_map, least_hashed, schema_with, table
 from tessera.llm.shingles import word_hashes
 
 #: Pages that the network may learn from.
 MAX_TRAIN = 240
-PATH, OWN, WORD, SHAPE = 64, 32, 32, 12
+PATH, OWN, WORD, SHAPE = 96, 64, 32, 12
 WIDTH = PATH + OWN + WORD + SHAPE
-HIDDEN, EPOCHS, RATE, SEED = 20, 14, 0.01, 5
+HIDDEN, EPOCHS, RATE, SEED = 20, 16, 0.01, 5
 
 # ---------------------------------------------------------------- blocks
 
@@ -364,7 +364,7 @@ def _made_up(texts: list[list[str]], rng: random.Random) -> tuple[list[Block], l
     def furniture(inside: bool = False) -> str:
         kind = rng.choice(("menu", "notice", "form", "advert", "aside", "comments", "header", "footer", "related"))
         if inside:
-            kind = rng.choice(("advert", "comments", "form", "aside", "related"))
+            kind = rng.choice(("advert", "comments", "comments", "form", "aside", "aside", "related", "notice", "menu"))
         name = {
             "menu": ("nav", "menu", "navigation", "breadcrumbs"), "notice": ("notice", "cookie", "consent", "alert"),
             "form": ("newsletter", "login", "search", "subscribe"), "advert": ("ad", "advert", "sponsor", "banner", "promo"),
@@ -384,7 +384,8 @@ def _made_up(texts: list[list[str]], rng: random.Random) -> tuple[list[Block], l
                 rng.choice((f"<div class='comment'><p>{phrase(3, 40, '.')}</p></div>", f"<p>{phrase(3, 40, '.')}</p>")) for _ in range(rng.randint(1, 5))
             )
         elif kind == "footer":
-            body = f"&copy; {phrase(1, 3)} &middot; {phrase(2, 12, '.')}"
+            line = f"&copy; {phrase(1, 3)} &middot; {phrase(2, 12, '.')}"
+            body = rng.choice((line, f"<p>{line}</p>", f"<p>{phrase(1, 12, '.')}</p><ul><li><a href='/z'>{phrase(1, 2)}</a></li></ul>", f"<div><p>{phrase(2, 9)}</p></div>"))
         else:
             body = rng.choice((f"<p>{phrase(3, 30, '.')}</p>", phrase(3, 25, "."), f"<div>{phrase(3, 15)} <a href='/y'>{phrase(1, 3)}</a></div>"))
         return opening + body + closing
@@ -396,9 +397,9 @@ def _made_up(texts: list[list[str]], rng: random.Random) -> tuple[list[Block], l
         kind = rng.random()
         shown = mark + html.escape(line)
         inner.append(f"<li>{shown}</li>" if kind < 0.05 else f"<blockquote>{shown}</blockquote>" if kind < 0.08 else f"<h2>{shown}</h2>" if kind < 0.12 else f"<p>{shown}</p>")
-        if rng.random() < 0.03:
+        if rng.random() < 0.06:
             inner.append(furniture(inside=True))
-    if rng.random() < 0.2:
+    if rng.random() < 0.5:
         inner.append(furniture(inside=True))
     before = "".join(furniture() for _ in range(rng.randint(0, 3)))
     after = "".join(furniture() for _ in range(rng.randint(0, 4)))
@@ -414,7 +415,7 @@ def _made_up(texts: list[list[str]], rng: random.Random) -> tuple[list[Block], l
     return found, labels
 
 
-def train(pages: list[str], made_up: int = 260) -> Labeller:
+def train(pages: list[str], made_up: int = 700) -> Labeller:
     """Learns from at most ``MAX_TRAIN`` pages and made-up ones around their texts."""
     data, labels = [], []
     texts: list[list[str]] = []
@@ -441,8 +442,13 @@ def train(pages: list[str], made_up: int = 260) -> Labeller:
 
 
 def sample(pages: DataFrame, n: int = MAX_TRAIN) -> list[str]:
-    rows = pages.where("html is not null").select(F.xxhash64("page_id").alias("h"), "page_id", "html")
-    return [r["html"] for r in rows.orderBy("h", "page_id", "html").limit(n).select("html").collect()]
+    """The html of the ``n`` pages of least hash; only their hashes are ranked, so only they travel."""
+    rows = pages.where("html is not null").select(F.xxhash64("page_id").alias("h"), "html")
+    last = least_hashed(rows.select("h"), n, "h").agg(F.max(F.xxhash64("h"))).first()[0]
+    if last is None:
+        return []
+    chosen = rows.where(F.xxhash64("h") <= last).select("h", F.xxhash64("html").alias("h2"), "html")
+    return [r["html"] for r in sorted(chosen.limit(2 * n).collect(), key=lambda r: (r["h"], r["h2"]))][:n]
 
 
 def extract(pages: DataFrame, net: Labeller, html_col: str = "html", text_col: str = "text") -> DataFrame:
@@ -463,7 +469,7 @@ def extract(pages: DataFrame, net: Labeller, html_col: str = "html", text_col: s
             rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(texts, pa.string())], [*others, text_col])
 
-    return pages.mapInArrow(run, schema)
+    return arrow_map(pages, run, schema)
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

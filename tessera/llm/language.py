@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, schema_with, table
+from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -121,7 +121,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     labelled = docs.where("lang is not null and text is not null").select(
         "lang", "text", F.xxhash64(F.col("doc_id"), F.crc32(F.col("text").cast("binary"))).alias("h")
     )
-    bound = labelled.select("h").orderBy("h").limit(max_train).agg(F.max("h")).first()[0]
+    bound = least_hashed(labelled.select("h"), max_train, "h").agg(F.max(F.xxhash64("h"))).first()[0]
     if bound is None:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
 
@@ -141,7 +141,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
             n = np.concatenate((s[at], [docs_of[lang]])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cell)), pa.array(cell), pa.array(n)], ["lang", "cell", "n"])
 
-    counted = labelled.where(F.col("h") <= bound).select("lang", "text").mapInArrow(count, "lang string, cell long, n long")
+    counted = arrow_map(labelled.where(F.xxhash64("h") <= bound).select("lang", "text"), count, "lang string, cell long, n long")
     pdf = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()  # languages x cells at most
     langs = sorted(pdf["lang"].unique())
     index = {x: k for k, x in enumerate(langs)}
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_col: str = "
             extra = [pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, lang_col, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

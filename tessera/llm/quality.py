@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, schema_with, table
+from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table
 
 #: Labelled documents that the trees may learn from.
 MAX_TRAIN = 12_000
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> For
     """
     spark = docs.sparkSession
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_train).collect()
+    chosen = least_hashed(known, max_train, "doc_id", "quality").collect()
     if not chosen:
         return grow(np.zeros((0, len(NAMES))), np.zeros(0))
     sample = F.broadcast(spark.createDataFrame(chosen, known.schema))  # max_train rows at most
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> For
             ids, q = batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.float64())
             yield pa.RecordBatch.from_arrays([ids, q, pa.array(x, pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "quality", "text").mapInArrow(measure, schema)
+    rows = arrow_map(docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "quality", "text"), measure, schema)
     pdf = rows.toPandas()
     if not len(pdf):
         return grow(np.zeros((0, len(NAMES))), np.zeros(0))
@@ -203,7 +203,7 @@ def score(docs: DataFrame, forest: Forest, text: str = "text", score_col: str =
             x = np.array([statistics(t.as_py()) for t in batch.column(at)]).reshape(batch.num_rows, len(NAMES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(f.predict(x))], [*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import rows_by_key, scratch, shuffle_partitions, table
+from tessera.llm.common import arrow_map, rows_by_key, scratch, shuffle_partitions, table
 from tessera.llm.components import components, local_roots
 
 COSINE = 0.93
@@ -76,7 +76,7 @@ def _signed(vectors: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
     columns = vectors.select("key", "label", "copies", "embedding")
-    return columns.mapInArrow(run, "bucket string, key long, copies long, vec binary, sigs binary")
+    return arrow_map(columns, run, "bucket string, key long, copies long, vec binary, sigs binary")
 
 
 def _blocked(signed: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def _compare(tasks: DataFrame, cosine: float, kind: str) -> DataFrame:
 
     n = shuffle_partitions(tasks.sparkSession)
     placed = tasks.repartition(n, "task").sortWithinPartitions("task")
-    return placed.mapInArrow(run, "key long, other long, links long")
+    return arrow_map(placed, run, "key long, other long, links long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
