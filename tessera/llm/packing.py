@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, shuffle_partitions, table
+from tessera.llm.common import arrow_map, scratch, shuffle_partitions, table
 
 CAPACITY = 4096
 END_ID = 1
@@ -37,8 +37,8 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # ---------------------------------------------------------------- tokenising
 
-#: Cached words of a worker; the cache starts anew beyond this.
-CACHE_WORDS = 300_000
+#: Cached chunks of a worker; the cache starts anew beyond this. Texts that are encoded together.
+CACHE_WORDS, GROUP = 800_000, 16
 #: Code points below this are composed, so NFC leaves a text of them as it is.
 SIMPLE_BELOW = 0x250
 _TOKENISERS: dict[str, WordTokeniser] = {}  # one per worker and file
@@ -50,7 +50,7 @@ def _ranges(keep) -> str:
 
 
 class WordTokeniser:
-    """Ids of a text by a ``tokenizers`` file, through bounded caches of chunks and words.
+    """Ids of a text by a ``tokenizers`` file, through a bounded cache of what stands between spaces.
 
     The file's pre-tokeniser splits a text into words that are encoded separately, so a
     word's ids may be kept. Texts with code points outside the simple range go to the
@@ -67,43 +67,46 @@ class WordTokeniser:
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{letters}{numbers}]+")
         # without the controls that only Python counts as white space
         self.simple = re.compile(f"[\x00-\x1b\x20-\x84\x86-{chr(SIMPLE_BELOW - 1)}]*").fullmatch
-        self.cache: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def _learn(self, unseen: list[str]) -> None:
-        for at in range(0, len(unseen), 4096):
-            part = unseen[at : at + 4096]
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of single words."""
+        out = {}
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
             enc = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, words = np.asarray(enc.ids, dtype="<u4"), np.asarray(enc.word_ids)
-            cuts = np.searchsorted(words, np.arange(len(part) + 1))
-            if len(words) and words[-1] != len(part) - 1:
+            ids, owner = np.asarray(enc.ids, dtype="<u4"), np.asarray(enc.word_ids)
+            cuts = np.searchsorted(owner, np.arange(len(part) + 1))
+            if len(owner) and owner[-1] != len(part) - 1:
                 raise ValueError("the tokeniser split a word differently on its own")
-            for w, a, b in zip(part, cuts[:-1], cuts[1:]):
-                self.cache[w] = ids[a:b].tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not self.simple(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        chunks = text.lower().split()
-        known = self.chunks
-        unseen = set(chunks).difference(known)
-        if unseen:
-            if len(known) + len(unseen) > CACHE_WORDS:
-                known.clear()
-                self.cache.clear()
-                unseen = set(chunks)
-            self._split(sorted(unseen))
-        return b"".join(map(known.__getitem__, chunks))
-
-    def _split(self, chunks: list[str]) -> None:
+            for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()):
+                out[w] = ids[a:b].tobytes()
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
         """Words never cross white space, so what stands between two spaces has ids of its own."""
         parts = [self.words.findall(x) for x in chunks]
-        self._learn(sorted({w for p in parts for w in p}.difference(self.cache)))
-        get = self.cache.__getitem__
+        get = self._words(sorted({w for p in parts for w in p})).__getitem__
         for x, p in zip(chunks, parts):
             self.chunks[x] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers. What the texts lack in the cache is
+        learned together."""
+        split = [t.lower().split() if self.simple(t) else None for t in texts]
+        known = self.chunks
+        unseen = {c for s in split if s for c in s}.difference(known)
+        if len(known) + len(unseen) > CACHE_WORDS and known:
+            known.clear()
+            unseen = {c for s in split if s for c in s}
+        self._learn(sorted(unseen))
+        plain = self.tokenizer.encode
+        return [
+            b"".join(map(known.__getitem__, s)) if s is not None
+            else np.asarray(plain(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for t, s in zip(texts, split)
+        ]
+
 
 def word_tokeniser(path: str) -> WordTokeniser:
     if path not in _TOKENISERS:
@@ -119,18 +122,21 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
         tok = word_tokeniser(tokenizer_path)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tok.encode(text.as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    out.append((doc_id, k, at // 4, len(own) // 4, zlib.crc32(own)))
+            for first in range(0, batch.num_rows, GROUP):
+                part = batch.slice(first, GROUP)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc_id, ids in zip(part.column(0).to_pylist(), tok.encode(texts)):
+                    ids = ids + end
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        own = ids[at : at + 4 * capacity]
+                        out.append((doc_id, k, at // 4, len(own) // 4, zlib.crc32(own)))
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECE_SCHEMA)
+    return arrow_map(docs.select("doc_id", "text"), cut, PIECE_SCHEMA)
 
 
 # ---------------------------------------------------------------- the packing of a histogram
@@ -338,7 +344,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return arrow_map(ranked, place, schema)
 
 
 def tokenizer_path(name: str) -> str:
