@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import table
+from tessera.llm.common import arrow_map, table
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pieces that a worker keeps; the cache starts anew beyond this.
@@ -98,7 +98,8 @@ class RankCodec:
         self.con.register("words", words)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM words")
-        self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        self.ids: dict[str, bytes] = {}  # decimals, comma-joined
+        self.back: dict[str, bytes] = {}  # what the ids decode to
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers and ids, in order; pieces must not be empty."""
@@ -122,18 +123,23 @@ class RankCodec:
         return word[order], tok[order]
 
     def decode_pieces(self, word: np.ndarray, tok: np.ndarray) -> list[bytes]:
+        if not len(tok):
+            return []
         self.con.register("tokens", pa.table({"word": word, "tok": tok, "pos": np.arange(len(tok))}))
         out = self.con.sql(DECODE).to_arrow_table()["text"].to_pylist()
         self.con.unregister("tokens")
         return list(map(bytes.fromhex, out))
 
     def learn(self, pieces: list[str]) -> None:
-        """Keeps for each piece its number of ids, their decimals and the bytes that they decode to."""
-        for p in [p for p in pieces if p.encode() in self.ranks]:  # a piece that is an entry has that id
-            self.known[p] = (1, str(self.ranks[p.encode()]).encode(), p.encode())
-        pieces = [p for p in pieces if p not in self.known]
-        at = 0
+        """Keeps for each piece the decimals of its ids and the bytes that they decode to."""
         raw = [p.encode() for p in pieces]
+        whole = [(p, r) for p, r in zip(pieces, raw) if r in self.ranks]  # a piece that is an entry has that id
+        ids = np.array([self.ranks[r] for _, r in whole], dtype=np.int32)
+        for (p, _), one, back in zip(whole, ids.tolist(), self.decode_pieces(np.arange(len(ids)), ids)):
+            self.ids[p], self.back[p] = str(one).encode(), back
+        rest = [(p, r) for p, r in zip(pieces, raw) if r not in self.ranks]
+        pieces, raw = [p for p, _ in rest], [r for _, r in rest]
+        at = 0
         while at < len(pieces):
             upto, total = at, 0
             while upto < len(pieces) and (upto == at or total + len(raw[upto]) <= QUERY_BYTES):
@@ -144,25 +150,25 @@ class RankCodec:
             cuts = np.searchsorted(word, np.arange(upto - at + 1)).tolist()
             text = list(map(str, tok.tolist()))
             for k in range(upto - at):
-                ids = text[cuts[k] : cuts[k + 1]]
-                self.known[pieces[at + k]] = (len(ids), ",".join(ids).encode(), back[k])
+                self.ids[pieces[at + k]] = ",".join(text[cuts[k] : cuts[k + 1]]).encode()
+                self.back[pieces[at + k]] = back[k]
             at = upto
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, sha256 of the ids, sha256 of the decoded bytes) of each text."""
         split = [self.split(t) for t in texts]
-        unseen = {p for s in split for p in s}.difference(self.known)
-        if len(self.known) + len(unseen) > CACHE_PIECES and self.known:
-            self.known.clear()
+        unseen = {p for s in split for p in s}.difference(self.ids)
+        if len(self.ids) + len(unseen) > CACHE_PIECES and self.ids:
+            self.ids.clear()
+            self.back.clear()
             unseen = {p for s in split for p in s}
         self.learn(sorted(unseen))
-        get, out = self.known.__getitem__, []
+        out = []
         for pieces in split:
-            if not pieces:
-                out.append((0, hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"").hexdigest()))
-                continue
-            counts, ids, back = zip(*map(get, pieces))
-            out.append((sum(counts), hashlib.sha256(b",".join(ids)).hexdigest(), hashlib.sha256(b"".join(back)).hexdigest()))
+            ids = b",".join(map(self.ids.__getitem__, pieces))
+            back = b"".join(map(self.back.__getitem__, pieces))
+            n = ids.count(b",") + 1 if ids else 0
+            out.append((n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()))
         return out
 
 
@@ -184,23 +190,27 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = codec(path, pattern)
+        ids: list[int | None] = []
+        texts: list[str] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            columns = (ids, *zip(*enc.digests(texts))) if texts else ((),) * 4
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+            out = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
         for batch in batches:
-            ids = batch.column(0)
-            found, group, size = [], [], 0
-            for text in batch.column(1):
-                group.append(text.as_py() or "")
-                size += len(group[-1])
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids.append(doc_id)
+                texts.append(text or "")
+                size += len(texts[-1])
                 if size >= GROUP_CHARS:
-                    found += enc.digests(group)
-                    group, size = [], 0
-            found += enc.digests(group)
-            n, a, b = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+                    yield flush()
+                    ids, texts, size = [], [], 0
+        yield flush()
+
+    return arrow_map(docs.select("doc_id", "text"), run, SCHEMA)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
