@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, rows_by_key, scratch, shuffle_partitions, table
+from tessera.llm.common import arrow_map, release, rows_by_key, scratch, shuffle_partitions, table
 from tessera.llm.components import components, local_roots
 from tessera.llm.shingles import mix, shingle_set
 
@@ -117,13 +117,21 @@ def summaries(docs: DataFrame) -> DataFrame:
             )
 
     schema = "doc_id long, n_shingles long, d1 long, d2 long, some array<long>, sign binary"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return arrow_map(docs.select("doc_id", "text"), run, schema)
 
 
 def frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The sample's most frequent shingles, ascending, with estimated numbers of classes."""
     seen = classes.select(F.explode("some").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    pdf = seen.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
+    seen = scratch(seen, "seen")
+    # the least frequency that lets at most FREQUENT shingles through
+    least, total = 2, 0
+    for n, k in sorted(((r["n"], r["k"]) for r in seen.groupBy("n").agg(F.count("*").alias("k")).collect()), reverse=True):
+        total += k
+        if total > FREQUENT:
+            least = n + 1
+            break
+    pdf = seen.where(F.col("n") >= least).toPandas()
     keys, n = pdf["shingle"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64) * SAMPLE
     order = np.argsort(keys)
     return keys[order], n[order]
@@ -144,7 +152,7 @@ def prefix(s: np.ndarray, keys: np.ndarray, estimate: np.ndarray) -> tuple[np.nd
     return s[rare], s[often], 1 if len(often) else matches
 
 
-def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndarray], repeated: bool) -> DataFrame:
     """The index: shingle, cls, n, k, often; rare shingles of one class only are left out."""
     held = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -169,7 +177,7 @@ def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndar
             )
 
     schema = "doc_id long, n_shingles long, d1 long, k long, rare array<long>, often array<long>"
-    rows = docs.select("doc_id", "text").mapInArrow(run, schema)
+    rows = arrow_map(docs.select("doc_id", "text"), run, schema)
     # copies leave here; a class that several equal rows of one id stand for is taken once below
     rows = rows.join(chosen, ["doc_id", "n_shingles", "d1"]).select("cls", F.col("n_shingles").alias("n"), "k", "rare", "often")
     def marked(column: str, often: bool):
@@ -180,7 +188,8 @@ def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndar
     spread = F.when(F.col("often"), F.pmod(F.xxhash64("cls"), F.lit(1024))).otherwise(0)
     low, high = (f("cls").over(Window.partitionBy("shingle", "spread")) for f in (F.min, F.max))
     kept = each.withColumn("spread", spread).withColumns({"low": low, "high": high}).where("often or low < high")
-    return kept.select("shingle", "cls", "n", "k", "often").distinct()
+    kept = kept.select("shingle", "cls", "n", "k", "often")
+    return kept.distinct() if repeated else kept
 
 
 def _counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,7 +237,9 @@ def _families(index: DataFrame, texts) -> DataFrame:
     # similar sets differ by one size class at most
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("long")
     member = scratch(sizes.join(family, "cls").withColumn("size", step), "family")
-    per_block = F.greatest(F.lit(16), F.least(F.lit(BLOCK_SETS), F.lit(BLOCK_SHINGLES) / F.max("n")))
+    # some blocks even for middling families, so that their tasks spread
+    even = F.greatest(F.lit(BLOCK_SETS / 2), F.count("*") / 4)
+    per_block = F.greatest(F.lit(4), F.least(F.lit(BLOCK_SETS), even, F.lit(BLOCK_SHINGLES) / F.max("n")))
     blocks = member.groupBy("family", "size").agg(F.ceil(F.count("*") / per_block).cast("int").alias("own"))
     along = Window.partitionBy("family").orderBy("size")  # size classes of a family are few
     near = lambda f, d: F.coalesce(F.when(f("size").over(along) == F.col("size") + d, f("own").over(along)), F.lit(0))
@@ -265,7 +276,7 @@ def _families(index: DataFrame, texts) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cls[some]), pa.array(cls[root[some]])], ["a", "b"])
 
     n = shuffle_partitions(index.sparkSession)
-    return rows.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return arrow_map(rows.repartition(n, "cell").sortWithinPartitions("cell"), run, "a long, b long")
 
 
 def _thinned(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -280,9 +291,26 @@ def _sized(a: str, b: str):
     return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
 
+def _named(rows: DataFrame, member: DataFrame) -> DataFrame:
+    """``rows`` with the component of their class; a class that is no member is a component of its own.
+
+    Only rows whose class may be a member, by its hash bucket, go through the join.
+    """
+    bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BUCKETS))
+    some = member.select(bucket("node").alias("_bucket")).distinct().withColumn("_hit", F.lit(True))
+    marked = rows.withColumn("_bucket", bucket("cls")).join(F.broadcast(some), "_bucket", "left")
+    may = marked.where("_hit").drop("_bucket", "_hit")
+    may = may.join(member, may["cls"] == member["node"], "left").drop("node").withColumn("component", F.coalesce("component", "cls"))
+    return may.unionByName(marked.where("_hit is null").drop("_bucket", "_hit").withColumn("component", F.col("cls")))
+
+
 def _plausible(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """The pairs that their signatures, a small part of the texts, do not rule out."""
-    side = lambda x: signs.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
+
+    def side(x: str) -> DataFrame:
+        some = _thinned(signs, pairs.select(F.col(x).alias("cls")), "cls")
+        return some.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
+
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "sign_a", "sign_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +320,7 @@ def _plausible(pairs: DataFrame, signs: DataFrame) -> DataFrame:
             part = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return arrow_map(rows, run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts) -> DataFrame:
@@ -316,7 +344,7 @@ def _verified(pairs: DataFrame, texts) -> DataFrame:
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "common", "either"])
 
-    return rows.mapInArrow(run, "a long, b long, common long, either long")
+    return arrow_map(rows, run, "a long, b long, common long, either long")
 
 
 def _links(verified: DataFrame) -> DataFrame:
@@ -337,8 +365,7 @@ def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame:
     done = None
     for turn in range(STAR_ROUNDS + 1):
         release(spark)
-        named = rare.join(member, rare["cls"] == member["node"], "left").drop("node")
-        named = named.withColumn("component", F.coalesce("component", "cls"))
+        named = _named(rare, member)
         order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls", "n", "k", "component")
         lists = named.groupBy("shingle").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("c")
@@ -375,10 +402,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = scratch(classes.select(*keys, "least", "some", "sign", F.xxhash64(*keys).alias("cls")), "classes")
     chosen = classes.select(F.col("least").alias("doc_id"), "n_shingles", "d1", "cls")
-    index = scratch(_index(docs, chosen, frequent(classes)), "index")
+    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m"))
+    repeated = not ids.where("m > 1").isEmpty()
+    index = scratch(_index(docs, chosen, frequent(classes), repeated), "index")
     signs = classes.select("cls", F.col("n_shingles").alias("n"), "sign")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1")
-    member = linked_classes(index, signs, _texts(docs, chosen, not repeated.isEmpty()))
+    member = linked_classes(index, signs, _texts(docs, chosen, repeated))
     named = classes.select(*keys, "cls", "least").join(member, F.col("cls") == F.col("node"), "left")
     named = named.withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -409,7 +437,7 @@ def _texts(docs: DataFrame, chosen: DataFrame, repeated: bool):
     def of(classes: DataFrame) -> DataFrame:
         wanted = scratch(chosen.join(classes.distinct(), "cls", "left_semi"), "wanted")
         own = _thinned(docs.select("doc_id", "text"), wanted, "doc_id").join(wanted, "doc_id").select("cls", "n_shingles", "d1", "text")
-        return own.mapInArrow(run, "cls long, text string").dropDuplicates(["cls"]) if repeated else own.select("cls", "text")
+        return arrow_map(own, run, "cls long, text string").dropDuplicates(["cls"]) if repeated else own.select("cls", "text")
 
     return of
 
