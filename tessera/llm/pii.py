@@ -48,8 +48,8 @@ WIDE = {
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,2}+[0-9]{3,6}+){2,4}+(?![0-9])",
     "phone": r"(?<![0-9+])\+?+\(?+[0-9][0-9().\x20/-]{5,22}[0-9](?![0-9])",
 }
-#: What a text must hold for a kind's patterns to be tried at all.
-NEEDS = {"email": r"[@＠]|[\[({]at[\])}]", "ip": r"[0-9][\])]?\x20?\.", "card": r"[0-9]{3}", "phone": r"[0-9]"}
+#: What a text must hold for a kind's patterns to be tried at all: every match of either pattern holds it.
+NEEDS = {"email": r"[@＠]|[\[({]at[\])}]", "ip": r"[0-9]\x20?[\[(]?\.", "card": r"[0-9][\x20-]?[0-9]", "phone": r"[0-9]"}
 _OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 _CUES = {
     "email": r"(?i)e-?mail|contact|write|@|courriel|correo",

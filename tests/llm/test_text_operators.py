@@ -248,6 +248,26 @@ def test_base_spans_equal_brute_force(spark, odd):
     assert pii.train(odd.limit(0)).keys() == model.keys() and pii.scan(odd.limit(0), model).count() == 0
 
 
+def test_filters_lose_no_spans(spark):
+    texts = ["pay 41 11 11 11 11 11 11 11 now", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "41-11-11-11-11-11-11-11", "4-1-1-1 1-1-1-1 1-1-1-1 1-1-1-1", "41 11 11 11 11 11 11 12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = docs.select("text", pii.base_spans(F.col("text"))["card"].alias("card")).collect()
+    for r in found:
+        assert [("card", x["start"], x["end"]) for x in r["card"]] == brute(r["text"]), r["text"]
+    assert [len(r["card"]) for r in found] == [1, 1, 1, 1, 0]
+    forms = ["192[.]168[.]0[.]1", "10(.)0(.)0(.)1", "10 [.] 0 [.] 0 [.] 1", "10 . 0 . 0 . 1", "10.0.0.1"]
+    docs = spark.createDataFrame([(f, f"host {f}") for f in forms], "form string, text string")
+    for r in docs.select("form", pii.spans(F.col("text"), pii.WIDE["ip"], pii.NEEDS["ip"]).alias("ip")).collect():
+        assert [x["hit"] for x in r["ip"]] == [r["form"]]
+    # each pattern's matches in random texts, with and without the filter
+    rng = random.Random(4)
+    bits = ["4", "11", "1111", " ", "-", ".", "[.]", "(.)", "/", "[dot]", "(at)", "＠", "@", "a", "+", "(", ")"]
+    docs = spark.createDataFrame([("".join(rng.choices(bits, k=rng.randint(4, 30))),) for _ in range(2000)], "text string")
+    for kind in pii.KINDS:
+        for pattern in (pii.BASE[kind], pii.WIDE[kind]):
+            assert docs.where(F.col("text").rlike(pattern) & ~F.col("text").rlike(pii.NEEDS[kind])).isEmpty(), pattern
+
+
 def test_added_spans_and_redaction(spark):
     rows = [(k, f"Mail bob{k}@example.com or call +1 555 123 4{k:03d} now; host 10.0.0.{k % 250}") for k in range(60)]
     rows += [(100, "write to ann (at) example (dot) org please"), (101, "nothing here 12")]
