@@ -11,6 +11,14 @@ template at ``LEAST`` or more. Two prunings lose nothing:
   of some words that together touch more bigrams than may be missing. Texts and units without
   any anchor are not split.
 
+A notice that shares its line or paragraph with other words is found as a run: for each template, the lines
+and paragraphs that match it are taken out (a foreign word stands for each) and all runs of words in the rest
+of the text, across line ends, are compared. A run starts and ends with a bigram of the template, as others
+score less, and has at most (2 - LEAST) / LEAST times its bigrams. Runs that overlap count once: the number
+is that of the most disjoint ones. A template is tried only where the text holds LEAST / (2 - LEAST) of its
+bigrams, which any match does, and not where the whole text matches it. The oracle knows units only; it is
+equal on texts whose notices stand alone.
+
 Defined results for odd input: null, empty and unit-free texts match nothing (null licence,
 dice 0, no matches); units of one word have no bigrams and match nothing; of equal scores the
 template first by name stands; rows with equal or null ids give a row each; an empty table gives
@@ -128,13 +136,17 @@ def _scores(unit: Column, templates: dict[str, str], least: float) -> Column:
     return F.flatten(F.transform(F.array(_bigrams(unit)), of))
 
 
+def _anchor_pattern(templates: dict[str, str], least: float) -> str:
+    return r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors(templates, least))) + r")(?![a-z0-9])"
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
     """``docs`` with ``matches``: array of (unit, dice, license), unit by unit.
 
     A unit is numbered by its kind and place: lines from 0, paragraphs after them, the whole text last.
     """
     templates = templates or TEMPLATES
-    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors(templates, least))) + r")(?![a-z0-9])"
+    pattern = _anchor_pattern(templates, least)
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n", -1)
     paragraphs = F.filter(F.split(text, r"\n[\x20\t\r]*\n", -1), lambda p: p.contains("\n"))
@@ -153,16 +165,101 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     return docs.withColumn("matches", F.flatten(F.transform(numbered, of)))
 
 
+def _words(unit: Column) -> Column:
+    return F.filter(F.split(F.lower(unit), WORD), lambda w: w != "")
+
+
+def _runs_of(text: Column, name: str, template: str, least: float) -> Column:
+    """struct<license, n, dice> of a template's runs in a text."""
+    own, total = bigrams_of(template), len(words_of(template)) - 1
+    high, known = math.floor(total * (2 - least) / least + 1e-9), F.array(*map(F.lit, own))
+    need = math.ceil(len(own) * least / (2 - least) - 1e-9)
+
+    def matches(unit: Column) -> Column:
+        return F.exists(F.array(_bigrams(unit)), lambda g: 2 * F.size(F.array_intersect(g, known)) >= least * (F.size(g) + len(own)) - 1e-9)
+
+    apart = F.array(F.lit("\n"))  # no word
+    rest = F.flatten(
+        F.transform(
+            F.split(text, r"\n[\x20\t\r]*\n", -1),
+            lambda p: F.when(p.contains("\n") & matches(p), apart).otherwise(
+                F.flatten(F.transform(F.split(p, "\n", -1), lambda line: F.when(matches(line), apart).otherwise(_words(line))))
+            ),
+        )
+    )
+
+    def of(words: Column) -> Column:
+        n = F.greatest(F.size(words) - 1, F.lit(0))
+        return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
+
+    def found(grams: Column) -> Column:
+        places = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(known, g), i)), lambda i: i.isNotNull())
+        none = F.expr("cast(array() as array<struct<start:int,end:int,dice:double>>)")
+
+        def of_places(at: Column) -> Column:
+            def ending(end: Column) -> Column:
+                def run(start: Column) -> Column:
+                    d = F.array_distinct(F.slice(grams, start + 1, end - start + 1))
+                    return F.transform(
+                        F.array(d),
+                        lambda x: F.struct(start.alias("start"), end.alias("end"), (2 * F.size(F.array_intersect(x, known)) / (F.size(x) + len(own))).alias("dice")),
+                    )[0]
+
+                starts = F.filter(at, lambda start: (start <= end) & (end - start < high))
+                return F.filter(F.transform(starts, run), lambda r: r["dice"] >= least - 1e-9)
+
+            return F.flatten(F.transform(at, ending))
+
+        enough = F.size(F.array_intersect(grams, known)) >= need
+        return F.when(enough, F.flatten(F.transform(F.array(places), of_places))).otherwise(none)
+
+    def counted(runs: Column) -> Column:
+        start = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"))
+
+        def step(acc: Column, r: Column) -> Column:
+            return F.when(r["start"] > acc["at"], F.struct(r["end"].alias("at"), (acc["n"] + 1).alias("n"))).otherwise(acc)
+
+        # runs come by their ends, so the first that fits leaves most room
+        n = F.aggregate(runs, start, step, lambda acc: acc["n"])
+        return F.struct(F.lit(name).alias("license"), n.alias("n"), F.round(F.array_max(F.transform(runs, lambda r: r["dice"])), 6).alias("dice"))
+
+    runs = F.transform(F.transform(F.transform(F.array(rest), of), found), counted)[0]
+    return F.when(~(text.contains("\n") & matches(text)) & (runs["n"] > 0), runs)
+
+
+def with_runs(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
+    """``docs`` with ``runs``: array of (license, n, dice), templates that runs of words match beside the units of ``scan``."""
+    templates = templates or TEMPLATES
+    text = F.coalesce(F.col("text"), F.lit(""))
+    known = F.array(*map(F.lit, sorted({g for t in templates.values() for g in bigrams_of(t)})))
+    none = F.expr("cast(array() as array<struct<license:string,n:int,dice:double>>)")
+
+    def of(held: Column) -> Column:
+        found = []
+        for name, template in sorted(templates.items()):
+            own = bigrams_of(template)
+            need = math.ceil(len(own) * least / (2 - least) - 1e-9)
+            enough = F.size(F.array_intersect(held, F.array(*map(F.lit, own)))) >= need
+            found.append(F.when(enough, _runs_of(text, name, template, least)))
+        return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+    held = F.array_intersect(_bigrams(text), known)
+    runs = F.flatten(F.transform(F.array(held), lambda x: F.when(F.size(x) > 0, of(x)).otherwise(none)))
+    return docs.withColumn("runs", F.when(text.rlike(_anchor_pattern(templates, least)), runs).otherwise(none))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    order = F.array_sort(F.transform("matches", lambda m: F.struct((-m["dice"]).alias("d"), m["license"].alias("license"))))
+    found = with_runs(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    scored = F.concat(*(F.transform(c, lambda m: F.struct((-m["dice"]).alias("d"), m["license"].alias("license"))) for c in ("matches", "runs")))
+    order = F.array_sort(scored)
+    n_runs = F.aggregate("runs", F.lit(0), lambda n, r: n + r["n"])
     best = F.get(order, F.lit(0))
     return found.select(
         "doc_id",
         best["license"].alias("license"),
         F.coalesce(-best["d"], F.lit(0.0)).alias("dice"),
-        F.size(F.array_distinct(F.transform("matches", lambda m: m["unit"]))).cast("long").alias("n_units"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        (F.size(F.array_distinct(F.transform("matches", lambda m: m["unit"]))) + n_runs).cast("long").alias("n_units"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(scored, lambda m: m["license"]))), ",").alias("licenses"),
     )
 
 

@@ -338,6 +338,74 @@ def test_licences_equal_brute_force(spark, odd):
     assert license_scan.scan(odd).count() == odd.count()
 
 
+def brute_runs(text, template):
+    """Most disjoint runs and best score, from every pair of ends."""
+    own, least = license_scan.bigrams_of(template), license_scan.LEAST
+    longest = int((len(license_scan.words_of(template)) - 1) * (2 - least) / least + 1e-9)
+    if "\n" in text and dice(text, template) >= least - 1e-9:
+        return 0, 0.0
+    words = []
+    for p in re.split(r"\n[ \t\r]*\n", text):
+        if "\n" in p and dice(p, template) >= least - 1e-9:
+            words.append("\n")
+            continue
+        for line in p.split("\n"):
+            words += ["\n"] if dice(line, template) >= least - 1e-9 else license_scan.words_of(line)
+    grams, runs = list(map(" ".join, zip(words, words[1:]))), []
+    for a in range(len(grams)):
+        for b in range(a, min(len(grams), a + longest)):
+            d = set(grams[a : b + 1])
+            score = 2 * len(d & set(own)) / (len(d) + len(own))
+            if score >= least - 1e-9:
+                runs.append((b, a, score))
+    n, at = 0, -1
+    for b, a, _ in sorted(runs):
+        if a > at:
+            n, at = n + 1, b
+    return n, round(max((x for *_, x in runs), default=0.0), 6)
+
+
+def test_licences_inside_lines(spark, tmp_path):
+    mit, isc = license_scan.TEMPLATES["mit"], license_scan.TEMPLATES["isc"].split()
+    wrapped = "\n * ".join(["Some header of a file", *(" ".join(isc[k : k + 7]) for k in range(0, len(isc), 7)), "and more words of the same comment that go on for some while"] * 1)
+    texts = {
+        0: f"Copyright 2020 Foo. {mit}",
+        1: wrapped,
+        2: f"one {mit} two three four five six seven {mit} eight",
+        3: f"{mit}\nalso here: all of it was {mit}",
+        4: mit,
+        5: "the license of the software is the mit license",
+        6: "x " * 300 + "All rights reserved. " + "y " * 300,
+    }
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: (r["license"], r["dice"], r["n_units"], r["licenses"]) for r in license_scan.op3_license_scan(spark, str(tmp_path)).collect()}
+    assert out[0] == ("mit", 1.0, 1, "mit") and out[1][0::3] == ("isc", "isc") and out[2] == ("mit", 1.0, 2, "mit")
+    assert out[3] == ("mit", 1.0, 2, "mit") and out[4] == ("mit", 1.0, 1, "mit") and out[5] == (None, 0.0, 0, "")
+    assert out[6] == ("all-rights-reserved", 1.0, 1, "all-rights-reserved")
+
+
+def test_runs_equal_brute_force(spark):
+    rng = random.Random(11)
+    names = ["mit", "all-rights-reserved", "apache-2.0", "bsd-short", "isc"]
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            words += rng.choices(["xyzzy", "the", "license", "under", "foo"], k=rng.randint(0, 6))
+            notice = license_scan.TEMPLATES[rng.choice(names)].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                notice[rng.randrange(len(notice))] = rng.choice(["xyzzy", "the", "license"])
+            words += [*notice, rng.choice(["", "\n", "\n\n"])]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([*enumerate(texts), (1000, None), (1001, "")], "doc_id long, text string")
+    hits = 0
+    for r in license_scan.with_runs(docs).collect():
+        found = {n: brute_runs(r["text"] or "", t) for n, t in license_scan.TEMPLATES.items()}
+        assert {x["license"]: (x["n"], x["dice"]) for x in r["runs"]} == {n: x for n, x in found.items() if x[0]}, r["text"]
+        hits += len(r["runs"])
+    assert hits > 50
+
+
 # ---------------------------------------------------------------- pages
 
 
