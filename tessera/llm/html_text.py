@@ -43,13 +43,21 @@ HIDDEN, EPOCHS, RATE, SEED = 20, 16, 0.01, 5
 
 # ---------------------------------------------------------------- blocks
 
-_TOKEN = re.compile(
+_INSIDE = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')"
+#: Comments and raw text, which run to the end of the page when they are not closed, and self-closed forms of the latter.
+_OPAQUE = (
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|head|iframe|object|math|canvas|audio|video)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
+    rf"|<(?:script|style)(?:\s{_INSIDE}*?(?<=[\s\"']))?/>"
+    rf"|<(script|style)(?=[\s/>]){_INSIDE}*>.*?(?:</\1\s*>|\Z)"
 )
+_TOKEN = re.compile(rf"{_OPAQUE}|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE}*)>|<[!?][^>]*>", re.S | re.I)
+#: Elements that hold no text of the page.
+_DROPPED = frozenset("audio canvas iframe math noscript object svg template video".split())
+_DROP = re.compile(rf"{_OPAQUE}|<(/?)({'|'.join(sorted(_DROPPED))})(?=[\s/>])({_INSIDE}*)>", re.S | re.I)
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
+#: What a head may hold beside raw text; anything else ends it, as its end tag may be left out.
+_HEAD = frozenset("base basefont bgsound html link meta title".split())
+_TITLE = re.compile(r"(?:(?!<(?:/head|body|title)\b).)*?</title\s*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -76,6 +84,22 @@ def _context(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Where each dropped element ends, by where it starts; self-closed and unclosed ones are not listed."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in _DROP.finditer(page):
+        if m[3] is None:
+            continue
+        tag = m[3].lower()
+        if not m[2]:
+            if not _SELF_CLOSED.search(m[4]):
+                opened.setdefault(tag, []).append(m.start())
+        elif opened.get(tag):
+            out[opened[tag].pop()] = m.end()
+    return out
+
+
 class Block:
     __slots__ = ("linked", "path", "text")
 
@@ -110,17 +134,38 @@ def blocks(page: str | None) -> list[Block]:
             path.pop()
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    ends: dict[int, int] | None = None
+    head = title = False  # inside an open head; inside a title without end
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
-            parts.append(piece)
-            if links:
-                linked += len(piece)
+            if head and not title and not piece.isspace():
+                head = False
+            if not head:
+                parts.append(piece)
+                if links:
+                    linked += len(piece)
         at = m.end()
         tag = m[3]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _DROPPED and not m[2]:
+            if ends is None:
+                ends = _ends(page)
+            at = ends.get(m.start(), at)
+            continue
+        if tag == "head":
+            head, title = not m[2], False
+            continue
+        if head:
+            title = False
+            if tag in _HEAD:
+                if tag == "title" and not m[2]:
+                    whole = _TITLE.match(page, at)
+                    at, title = (whole.end(), False) if whole else (at, True)
+                continue
+            head = False
         if tag == "a":
             links = 0 if m[2] else 1
         if tag not in _BLOCK:
@@ -140,7 +185,7 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in _VOID and not m[4].endswith("/"):
             stack.append(tag)
             path.append(_context(tag, m[4]))
-    if at < len(page):
+    if at < len(page) and not title:
         parts.append(page[at:])
     flush()
     return out

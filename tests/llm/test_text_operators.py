@@ -429,6 +429,30 @@ def test_blocks_survive_broken_markup():
         assert [b.text for b in html_text.blocks(page)] == want, page
 
 
+def test_blocks_after_heads_and_dropped_elements_without_end():
+    main = ["Main text."]
+    cases = {
+        "<html><head><title>T</title><body><article><p>Main text.</p></article>": main,
+        "<html><head><title>T</title><meta charset=utf-8><p>Main text.</p>": main,
+        "<head><title>T<body><p>Main text.</p>": main,
+        "<head><title>T</title><link rel=x>Main text.": main,
+        "<head><title>a <p> b</title><script>x</script></head><header>Main text.</header>": main,
+        "<head><title>T</title><style>p{}</style></head><p>Main text.": main,
+        '<svg viewBox="0 0 1 1"/><p>Main text.</p>': main,
+        '<svg viewBox="0 0 1 1"><path d="M0"/><p>Main text.</p><svg><text>no</text></svg>': main,
+        "<svg><svg><text>no</text></svg><text>no</text></svg><p>Main text.": main,
+        "<iframe src=x /><video src=y><p>Main text.</p>": main,
+        '<noscript><img alt="5" tall"></noscript><p>Main text.</p><noscript>"</noscript>': main,
+        '<script src="a.js"/><p>Main text.</p>': main,
+        "<script src=/js/>no</script><p>Main text.</p><script>no": main,
+        "<object>no</object><template><p>no</template><p>Main text.<style>no": main,
+        "<!-- <svg> --><p>Main text.</p><svg>no</svg>": main,
+        "<head><title>T": [],
+    }
+    for page, want in cases.items():
+        assert [b.text for b in html_text.blocks(page)] == want, page
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     net = html_text.Labeller()
