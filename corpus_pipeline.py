@@ -30,10 +30,10 @@ def _fresh(docs: DataFrame, *names: str) -> list[str]:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores at its threshold or more; empty texts go."""
+    """Documents that the quality classifier scores at its threshold or more."""
     forest = quality.train(docs, table(spark, sf_dir, "labels"))
     (column,) = _fresh(docs, "quality_score")
-    scored = quality.score(docs.where(F.length(F.trim(F.col("text"))) > 0), forest, score_col=column)
+    scored = quality.score(docs, forest, score_col=column)
     return scored.where(F.col(column) >= quality.THRESHOLD).drop(column)
 
 
@@ -48,16 +48,26 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id.
 
-    Rows that repeat an id inside their group leave one. Documents without an id are in no
-    group; of equal texts among them one stays.
+    Rows that share an id are documents of their own unless their texts are equal; of equal ones one
+    stays. Documents without an id are in no group; of equal texts among them one stays.
     """
-    groups = scratch(jaccard.near_duplicates(docs).select("doc_id", "component_id"), "groups")
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = docs.join(keep.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not keep.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    if not groups.where("doc_id is null").isEmpty():
-        kept = kept.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        groups = scratch(jaccard.near_duplicates(docs).select("doc_id", "component_id"), "groups")
+        kept = docs.join(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    else:
+        digest, row = _fresh(docs, "text_digest", "row")
+        marked = named.withColumn(digest, F.coalesce(F.sha2("text", 256), F.lit("")))
+        # each distinct (id, text) gets an id of its own, in the order of the ids
+        rows = marked.select("doc_id", digest, "text").dropDuplicates(["doc_id", digest]).orderBy("doc_id", digest)
+        rows = scratch(rows.withColumn(row, F.monotonically_increasing_id()), "rows")
+        groups = jaccard.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+        first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row))
+        chosen = scratch(rows.join(first, row, "left_semi").select("doc_id", digest), "chosen")
+        kept = marked.join(chosen, ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
+    without = docs.where("doc_id is null")
+    if not without.isEmpty():
+        kept = kept.unionByName(without.dropDuplicates(["text"]))
     return kept
 
 

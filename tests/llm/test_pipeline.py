@@ -67,6 +67,23 @@ def test_rows_without_ids_or_texts(spark, tmp_path):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_repeated_ids_are_told_apart_by_text(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "one two three four five six seven eight nine ten", "red blue green black white brown grey pink gold teal")
+    rows = [(3, a, "en"), (5, f"{a} ", "en"), (5, b, "en"), (5, c, "en"), (5, c, "en"), (7, b, "en"), (8, "x", "en"), (8, "", "en"), (8, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    want = [(3, a), (5, b), (5, c), (8, "x"), (8, ""), (8, None)]
+    assert out.columns == docs.columns and sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_empty_texts_are_scored_like_others(spark, monkeypatch):
+    monkeypatch.setattr(quality, "THRESHOLD", 0.0)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(-1, ""), (-2, " \n"), (-3, None)], "doc_id long, text string")
+    out = corpus_pipeline.quality_stage(spark, docs.unionByName(odd, allowMissingColumns=True), SF)
+    assert ids(out) == ids(docs) | {-1, -2, -3}
+
+
 def test_rejections(spark):
     docs = spark.createDataFrame([(k, "the river runs under the old stone bridge " * 3, "en") for k in range(20)] + [(90, "1234 5678", "en"), (91, None, "en")], "doc_id long, text string, lang string")
     assert ids(corpus_pipeline.language_stage(spark, docs, SF)) == set(range(20))
