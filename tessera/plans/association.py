@@ -111,7 +111,7 @@ def weighted_ecdf(spark, sf_dir):
 
 @query("paired_bootstrap")
 def paired_bootstrap(spark, sf_dir):
-    return stats.paired_bootstrap(_matched(spark, sf_dir), ["g"], "focal", "role", "score", resamples=200)
+    return stats.paired_bootstrap(_matched(spark, sf_dir), ["g"], "focal", "role", "score")
 
 
 @query("firth_logistic")

@@ -177,3 +177,10 @@ def test_ecdf_is_monotone_and_ends_at_one(spark):
     own = np.array([s for _, _, r, s in rows if r == "observed"])
     assert list(x["fraction"]) == pytest.approx([(own <= v + 1e-12).mean() for v in x["x"]])
     assert isinstance(out, pd.DataFrame)
+
+
+def test_registered_bootstrap_draws_as_often_as_the_operator(spark):
+    from tessera.plans import association
+
+    out = association.paired_bootstrap(spark, "/root/testdata/sf0.001").collect()
+    assert out and {r["valid_resamples"] for r in out} == {1000}
