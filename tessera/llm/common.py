@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from tessera.storage import drop_scratch, scratch, shared_dir  # noqa: F401
+from tessera.storage import discard, drop_scratch, scratch, shared_dir  # noqa: F401
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -15,19 +15,22 @@ shared shingles before verification; of a pair the smaller requirement holds.
 
 *Rare shingles.* Lists of rare shingles are short. In the first rounds each list pairs its members only with
 one centre, chosen anew in each round. Verified pairs join classes to components, and a list only
-pairs members of different components. The last round pairs what is still apart. Only a class whose
-prefix holds frequent shingles may share fewer rare ones than l; it requires one.
+pairs members of different components. The last round pairs what is still apart.
 
 *Frequent shingles.* Their lists are long: a group of near copies shares all of them, and its members need not
-be similar to each other. Classes that meet in such lists form families. A family is cut into size
-classes (similar sets are in the same or neighbouring ones) and blocks; each pair of blocks is
-one task, which counts all common shingles by matrix products and returns for each class an edge to its
-component in the task. So a family of m classes gives about m rows, never its pairs.
+be similar to each other. Classes that meet in such lists form families; a pair that shares a frequent shingle of both
+prefixes is of one family, any other pair must share l rare ones. A family is one more list in the rounds of centres,
+so that most near copies join one component at a linear cost. Only the classes outside the family's largest component are then
+compared with all others: a family is cut into size classes (similar sets are in the same or
+neighbouring ones) and blocks; each pair of blocks is one task, which counts all common
+shingles by matrix products and returns for each class an edge to its component in the task. So a family of m classes gives
+about m rows, never its pairs.
 
 Defined results for odd input: null text and texts without words have an empty set (n_shingles 0)
 and link with nothing; rows with equal doc_id are separate texts that share an id; rows
 without an id link with nothing (component null); an empty table gives no rows; extra columns
-are ignored.
+are ignored. Whole texts are read, however long: a set is as large as its text, and one set's arrays are held at a time
+(in a block at most ``BLOCK_SETS``). Equal frequencies, sizes and centres are settled by hashes.
 """
 
 from __future__ import annotations
@@ -39,22 +42,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, release, rows_by_key, scratch, shuffle_partitions, table
+from tessera.llm.common import arrow_map, discard, release, rows_by_key, scratch, shuffle_partitions, table
 from tessera.llm.components import components, local_roots
 from tessera.llm.shingles import mix, shingle_set
 
 #: The threshold as a fraction, so that borderline pairs are decided in integers.
 NUMERATOR, DENOMINATOR = 80, 100
 #: Estimated classes from which on a shingle counts as frequent.
-HEAVY = 40
+HEAVY = 100
 #: One class in so many tells shingle frequencies; the most frequent shingles that are broadcast (16 bytes each).
 SAMPLE, FREQUENT = 16, 500_000
 #: Shingles of the sets in a block of a family, and sets in it at most.
-BLOCK_SHINGLES, BLOCK_SETS = 600_000, 2048
+BLOCK_SHINGLES, BLOCK_SETS = 400_000, 256
 #: Rounds that compare with centres only, before what is left is compared.
 STAR_ROUNDS = 2
 #: Matches that a prefix may require at most.
-MOST_MATCHES = 4
+MOST_MATCHES = 8
 #: Hash buckets of a broadcast that thins out rows before they are shuffled (an exact join follows).
 BUCKETS = 1 << 18
 
@@ -120,9 +123,10 @@ def summaries(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text"), run, schema)
 
 
-def frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The sample's most frequent shingles, ascending, with estimated numbers of classes."""
-    seen = classes.select(F.explode("some").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    sampled = rows.where("size(some) > 0 and doc_id is not null").groupBy("n_shingles", "d1", "d2").agg(F.first("some").alias("some"))
+    seen = sampled.select(F.explode("some").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     seen = scratch(seen, "seen")
     # the least frequency that lets at most FREQUENT shingles through
     least, total = 2, 0
@@ -132,6 +136,7 @@ def frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = n + 1
             break
     pdf = seen.where(F.col("n") >= least).toPandas()
+    discard(seen)
     keys, n = pdf["shingle"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64) * SAMPLE
     order = np.argsort(keys)
     return keys[order], n[order]
@@ -149,47 +154,53 @@ def prefix(s: np.ndarray, keys: np.ndarray, estimate: np.ndarray) -> tuple[np.nd
     matches = 1 + min(MOST_MATCHES - 1, int(np.log2(1 + cost)), n - p)
     own = order[: p + matches - 1]
     rare, often = own[~heavy[own]], own[heavy[own]]
-    return s[rare], s[often], 1 if len(often) else matches
+    return s[rare], s[often], matches
 
 
-def _index(docs: DataFrame, chosen: DataFrame, common: tuple[np.ndarray, np.ndarray], repeated: bool) -> DataFrame:
-    """The index: shingle, cls, n, k, often; rare shingles of one class only are left out."""
+def _index(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The index: shingle, cls, n, k, often; rare shingles of one class only are left out.
+
+    A task passes each class on once, and classes that several tasks hold meet in the lists.
+    """
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, estimate = held.value
+        passed: set[tuple[int, int, int]] = set()
         for batch in batches:
-            ids, sizes, first, required, rare, often = [], [], [], [], [], []
+            sizes, first, second, required, rare, often = [], [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = shingle_set(text.as_py())
                 if not len(s) or doc_id is None:
                     continue
+                name = (len(s), *digests(s))
+                if name in passed:
+                    continue
+                passed.add(name)
                 a, b, k = prefix(s, keys, estimate)
-                ids.append(doc_id)
-                sizes.append(len(s))
-                first.append(digests(s)[0])
-                required.append(k)
+                for column, x in zip((sizes, first, second, required), (*name, k)):
+                    column.append(x)
                 rare.append(a.view(np.int64))
                 often.append(b.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in (ids, sizes, first, required)), _lists(rare), _lists(often)],
-                ["doc_id", "n_shingles", "d1", "k", "rare", "often"],
+                [*(pa.array(x, pa.int64()) for x in (sizes, first, second, required)), _lists(rare), _lists(often)],
+                ["n_shingles", "d1", "d2", "k", "rare", "often"],
             )
 
-    schema = "doc_id long, n_shingles long, d1 long, k long, rare array<long>, often array<long>"
+    schema = "n_shingles long, d1 long, d2 long, k long, rare array<long>, often array<long>"
     rows = arrow_map(docs.select("doc_id", "text"), run, schema)
-    # copies leave here; a class that several equal rows of one id stand for is taken once below
-    rows = rows.join(chosen, ["doc_id", "n_shingles", "d1"]).select("cls", F.col("n_shingles").alias("n"), "k", "rare", "often")
-    def marked(column: str, often: bool):
-        return F.transform(column, lambda x: F.struct(x.alias("shingle"), F.lit(often).alias("often")))
-
-    each = rows.select("cls", "n", "k", F.explode(F.concat(marked("rare", False), marked("often", True))).alias("x")).select("cls", "n", "k", "x.*")
+    # size and requirement travel as one number, which is negative for frequent shingles
+    size = F.col("n_shingles") * (MOST_MATCHES + 1) + F.col("k")
+    marked = F.concat(*(F.transform(c, lambda x, nk=nk: F.struct(x.alias("shingle"), nk.alias("nk"))) for c, nk in (("rare", size), ("often", -size))))
+    each = rows.select(F.xxhash64("n_shingles", "d1", "d2").alias("cls"), F.explode(marked).alias("x")).select("x.shingle", "cls", "x.nk")
     # lists of rare shingles are short, so one exchange serves to count and to keep; frequent ones are only passed on
-    spread = F.when(F.col("often"), F.pmod(F.xxhash64("cls"), F.lit(1024))).otherwise(0)
+    spread = F.when(F.col("nk") < 0, F.pmod(F.xxhash64("cls"), F.lit(1024))).otherwise(0)
     low, high = (f("cls").over(Window.partitionBy("shingle", "spread")) for f in (F.min, F.max))
-    kept = each.withColumn("spread", spread).withColumns({"low": low, "high": high}).where("often or low < high")
-    kept = kept.select("shingle", "cls", "n", "k", "often")
-    return kept.distinct() if repeated else kept
+    kept = each.withColumn("spread", spread).withColumns({"low": low, "high": high}).where("nk < 0 or low < high")
+    kept = kept.dropDuplicates(["shingle", "spread", "cls"])  # where the window has put them
+    whole = F.abs("nk")
+    n = F.floor(whole / (MOST_MATCHES + 1)).alias("n")
+    return kept.select("shingle", "cls", n, F.pmod(whole, F.lit(MOST_MATCHES + 1)).alias("k"), (F.col("nk") < 0).alias("often"))
 
 
 def _counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,37 +238,65 @@ def _counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _families(index: DataFrame, texts) -> DataFrame:
-    """(a, b): edges that join the linked classes of each family."""
+def _families(index: DataFrame) -> DataFrame:
+    """cls, n, family of the classes that meet others in lists of frequent shingles."""
     often = index.where("often").select("shingle", "cls", "n")
     centre = often.groupBy("shingle").agg(F.min("cls").alias("b"), F.count("*").alias("m")).where("m > 1").select("shingle", "b")
     met = scratch(often.join(centre, "shingle").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct(), "met")
-    family = components(met).select(F.col("node").alias("cls"), F.col("component").alias("family"))
-    sizes = index.where("often").select("cls", "n").distinct()
+    family = components(met)
+    out = scratch(often.select("cls", "n").distinct().join(family.withColumnsRenamed({"node": "cls", "component": "family"}), "cls"), "family")
+    discard(met, family)
+    return out
+
+
+def _apart(lists: DataFrame, key: str) -> DataFrame:
+    """``lists`` (key, component, ...) of more than one component, with ``rest``: not of the list's largest component.
+
+    Pairs inside the largest component tell nothing more, so what is compared grows with the rest only.
+    """
+    sizes = lists.groupBy(key, "component").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy(key).agg(F.max(F.struct("m", "component"))["component"].alias("largest"), F.count("*").alias("several"))
+    return lists.join(largest.where("several > 1").drop("several"), key).withColumn("rest", F.col("component") != F.col("largest")).drop("largest")
+
+
+def _cells(families: DataFrame, member: DataFrame | None, texts) -> DataFrame:
+    """(a, b): edges that join the linked classes of each family. Blocks are either of the rest or of the largest component."""
     # similar sets differ by one size class at most
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("long")
-    member = scratch(sizes.join(family, "cls").withColumn("size", step), "family")
-    # some blocks even for middling families, so that their tasks spread
-    even = F.greatest(F.lit(BLOCK_SETS / 2), F.count("*") / 4)
-    per_block = F.greatest(F.lit(4), F.least(F.lit(BLOCK_SETS), even, F.lit(BLOCK_SHINGLES) / F.max("n")))
-    blocks = member.groupBy("family", "size").agg(F.ceil(F.count("*") / per_block).cast("int").alias("own"))
+    held = scratch(_apart(_named(families, member), "family").withColumn("size", step), "apart")
+    per_block = F.greatest(F.lit(4), F.least(F.lit(BLOCK_SETS), F.lit(BLOCK_SHINGLES) / F.max("n")))
+    count = lambda rest: F.ceil(F.count_if(F.col("rest") == rest) / per_block).cast("int")
+    blocks = held.groupBy("family", "size").agg(count(True).alias("rest_here"), count(False).alias("main_here"))
     along = Window.partitionBy("family").orderBy("size")  # size classes of a family are few
-    near = lambda f, d: F.coalesce(F.when(f("size").over(along) == F.col("size") + d, f("own").over(along)), F.lit(0))
-    blocks = blocks.withColumns({"before": near(F.lag, -1), "after": near(F.lead, 1)})
-    placed = member.join(blocks, ["family", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own")).cast("int"))
-
-    def cells(count: str, size, cell, side):
-        """Structs of the tasks that pair a set's block with ``count`` others."""
-        numbers = F.when(F.col(count) > 0, F.sequence(F.lit(0), F.greatest(F.col(count) - 1, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
-        name = lambda i: F.concat_ws("/", "family", size.cast("string"), *(c.cast("string") for c in cell(i)))
-        return F.transform(numbers, lambda i: F.struct(name(i).alias("cell"), side(i).alias("side")))
-
-    own = F.col("block")
-    inner = cells("own", F.col("size"), lambda i: (F.lit("in"), F.least(own, i), F.greatest(own, i)), lambda i: F.when(own == i, 3).when(own < i, 1).otherwise(2))
-    up = cells("after", F.col("size"), lambda i: (F.lit("up"), own, i), lambda i: F.lit(1))
-    down = cells("before", F.col("size") - 1, lambda i: (F.lit("up"), i, own), lambda i: F.lit(2))
-    dealt = placed.select("cls", F.explode(F.concat(inner, up, down)).alias("x")).select("cls", "x.cell", "x.side")
-    rows = dealt.join(texts(member.select("cls")), "cls")
+    near = lambda f, c, d: F.coalesce(F.when(f("size").over(along) == F.col("size") + d, f(c).over(along)), F.lit(0))
+    blocks = blocks.withColumns({
+        f"{c}_{name}": near(f, f"{c}_here", d) for c in ("rest", "main") for f, name, d in ((F.lag, "below", -1), (F.lead, "above", 1))
+    })
+    place = F.pmod(F.xxhash64("cls"), F.when(F.col("rest"), F.col("rest_here")).otherwise(F.col("main_here")))
+    placed = held.join(blocks, ["family", "size"]).withColumn("block", place.cast("int"))
+    own, size = F.col("block"), F.col("size")
+
+    def cells(column: str, kind: str, size, cell, side):
+        """Structs of the tasks that pair a set's block with the others that ``column`` counts."""
+        numbers = F.when(F.col(column) > 0, F.sequence(F.lit(0), F.greatest(F.col(column) - 1, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
+        name = lambda i: F.concat_ws("/", F.lit(kind), "family", size.cast("string"), *(c.cast("string") for c in cell(i)))
+        return F.transform(numbers, lambda i: F.struct(name(i).alias("cell"), F.lit(side(i)).alias("side")))
+
+    inside = lambda i: F.when(own == i, 3).when(own < i, 1).otherwise(2)
+    of_rest = F.concat(
+        cells("rest_here", "in", size, lambda i: (F.least(own, i), F.greatest(own, i)), inside),
+        cells("rest_above", "up", size, lambda i: (own, i), lambda i: 1),
+        cells("rest_below", "up", size - 1, lambda i: (i, own), lambda i: 2),
+        *(cells(f"main_{c}", c, size, lambda i: (own, i), lambda i: 1) for c in ("below", "here", "above")),
+    )
+    of_main = F.concat(
+        cells("rest_here", "here", size, lambda i: (i, own), lambda i: 2),
+        cells("rest_above", "below", size + 1, lambda i: (i, own), lambda i: 2),
+        cells("rest_below", "above", size - 1, lambda i: (i, own), lambda i: 2),
+    )
+    dealt = placed.select("cls", F.explode(F.when(F.col("rest"), of_rest).otherwise(of_main)).alias("x")).select("cls", "x.cell", "x.side")
+    dealt = scratch(dealt, "cells")
+    rows = dealt.join(texts(dealt.select("cls")), "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in rows_by_key(batches, "cell"):
@@ -275,8 +314,10 @@ def _families(index: DataFrame, texts) -> DataFrame:
             if len(some):
                 yield pa.RecordBatch.from_arrays([pa.array(cls[some]), pa.array(cls[root[some]])], ["a", "b"])
 
-    n = shuffle_partitions(index.sparkSession)
-    return arrow_map(rows.repartition(n, "cell").sortWithinPartitions("cell"), run, "a long, b long")
+    n = shuffle_partitions(families.sparkSession)
+    out = scratch(arrow_map(rows.repartition(n, "cell").sortWithinPartitions("cell"), run, "a long, b long"), "linked")
+    discard(held, dealt)
+    return out
 
 
 def _thinned(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -286,16 +327,27 @@ def _thinned(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return df.withColumn("_bucket", bucket).join(F.broadcast(some), "_bucket", "left_semi").drop("_bucket")
 
 
+def without(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not among ``keys``. Only rows whose bucket some key has go through the join."""
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(BUCKETS))
+    some = F.broadcast(keys.select(bucket.alias("_bucket")).distinct())
+    marked = df.withColumn("_bucket", bucket)
+    may = marked.join(some, "_bucket", "left_semi").join(keys, column, "left_anti")
+    return marked.join(some, "_bucket", "left_anti").unionByName(may).drop("_bucket")
+
+
 def _sized(a: str, b: str):
     """The sizes allow similarity."""
     return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
 
-def _named(rows: DataFrame, member: DataFrame) -> DataFrame:
+def _named(rows: DataFrame, member: DataFrame | None) -> DataFrame:
     """``rows`` with the component of their class; a class that is no member is a component of its own.
 
     Only rows whose class may be a member, by its hash bucket, go through the join.
     """
+    if member is None:
+        return rows.withColumn("component", F.col("cls"))
     bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BUCKETS))
     some = member.select(bucket("node").alias("_bucket")).distinct().withColumn("_hit", F.lit(True))
     marked = rows.withColumn("_bucket", bucket("cls")).join(F.broadcast(some), "_bucket", "left")
@@ -357,63 +409,101 @@ def _agreed(meetings: DataFrame) -> DataFrame:
     return met.where("m >= k").select("a", "b")
 
 
-def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame:
-    """(node, component) of the classes that link with another. signs: cls, n, sign."""
+def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame | None:
+    """(node, component) of the classes that link with another, None if no two met. signs: cls, n, sign."""
     spark = index.sparkSession
-    member = components(scratch(_families(index, texts), "families"))
-    rare = scratch(index.where("not often").drop("often"), "rare")
-    done = None
-    for turn in range(STAR_ROUNDS + 1):
+    columns = ("cls", "n", "k", "component")
+    families = _families(index)
+    rare = index.where("not often").select("shingle", "cls", "n", "k")
+    # a family is one more list, in which one match is enough
+    lists = rare.unionByName(families.select(F.col("family").alias("shingle"), "cls", "n", F.lit(1).cast("long").alias("k")))
+    member: DataFrame | None = None
+    done: list[DataFrame] = []
+
+    def linked(pairs: DataFrame, member: DataFrame | None) -> DataFrame | None:
+        """``member`` with the links among new pairs."""
+        for known in done:
+            pairs = pairs.join(known.union(known.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+        pairs = scratch(pairs, "pairs")
+        done.append(pairs)
+        if pairs.isEmpty():
+            return member
+        plausible = scratch(_plausible(pairs, signs), "plausible")
+        links = scratch(_links(_verified(plausible, texts)), "links")
         release(spark)
-        named = _named(rare, member)
-        order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls", "n", "k", "component")
-        lists = named.groupBy("shingle").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("c")
-        )
+        return joined(links, member, plausible, links)
+
+    def joined(links: DataFrame, member: DataFrame | None, *spent: DataFrame) -> DataFrame:
+        known = links if member is None else links.union(member.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        out = components(known)
+        discard(member, *spent)
+        return out
+
+    for turn in range(STAR_ROUNDS):
+        named = _named(lists, member)
+        order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), *columns)
+        ends = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("c"))
         # a list whose members are in one component has nothing more to tell
-        named = scratch(named.join(lists.where("low < high").select("shingle", "c"), "shingle"), "lists")
-        rare = named.select("shingle", "cls", "n", "k")
-        if turn < STAR_ROUNDS:
-            meet = named.select("*", *(F.col(f"c.{x}").alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
-        else:
-            mine = named.select("shingle", *(F.col(x).alias(f"{x}_a") for x in ("cls", "n", "k", "component")))
-            meet = named.join(mine, "shingle").where(F.col("cls") > F.col("cls_a"))
+        kept = scratch(named.join(ends.where("low < high").select("shingle", "c"), "shingle"), "lists")
+        meet = kept.select("*", *(F.col(f"c.{x}").alias(f"{x}_a") for x in columns))
         meet = meet.where((F.col("component") != F.col("component_a")) & _sized("n", "n_a"))
-        pairs = _agreed(meet.select(F.col("cls_a").alias("a"), "k_a", F.col("cls").alias("b"), F.col("k").alias("k_b")))
-        if done is not None:
-            known = done.union(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = scratch(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        done = pairs if done is None else done.union(pairs)
-        links = scratch(_links(_verified(scratch(_plausible(pairs, signs), "plausible"), texts)), "links")
-        member = components(links.union(member.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        member = linked(_agreed(meet.select(F.col("cls_a").alias("a"), "k_a", F.col("cls").alias("b"), F.col("k").alias("k_b"))), member)
+        discard(lists)
+        lists = kept.select("shingle", "cls", "n", "k")
+        lists._scratch = kept._scratch
+        release(spark)
+
+    links = _cells(families, member, texts)
+    if not links.isEmpty():
+        member = joined(links, member)
+    discard(links)
+    release(spark)
+
+    rows = lists.join(families.select(F.col("family").alias("shingle"), "cls"), ["shingle", "cls"], "left_anti")
+    rows = scratch(_apart(_named(rows, member), "shingle"), "rest")
+    other = rows.select("shingle", F.col("rest").alias("rest_a"), *(F.col(x).alias(f"{x}_a") for x in columns))
+    meet = rows.where("rest").join(other, "shingle").where((F.col("component") != F.col("component_a")) & _sized("n", "n_a"))
+    # two of the rest meet from both sides; once is enough
+    meet = meet.where("not rest_a or cls > cls_a")
+    pair = [F.least("cls", "cls_a").alias("a"), F.when(F.col("cls") < F.col("cls_a"), F.col("k")).otherwise(F.col("k_a")).alias("k_a")]
+    pair += [F.greatest("cls", "cls_a").alias("b"), F.when(F.col("cls") < F.col("cls_a"), F.col("k_a")).otherwise(F.col("k")).alias("k_b")]
+    member = linked(_agreed(meet.select(*pair)), member)
+    discard(lists, rows, families, *done)
+    release(spark)
     return member
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    rows = scratch(summaries(docs), "summaries")
+    spark = docs.sparkSession
+    whole = scratch(summaries(docs), "summaries")
     keys = ["n_shingles", "d1", "d2"]
     # copies meet here; partial aggregation leaves one row per task of a large group
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(
-        F.min("doc_id").alias("least"), F.first("some").alias("some"), F.first("sign").alias("sign")
+    classes = whole.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(
+        F.min("doc_id").alias("least"), F.first("sign").alias("sign")
     )
-    classes = scratch(classes.select(*keys, "least", "some", "sign", F.xxhash64(*keys).alias("cls")), "classes")
+    classes = scratch(classes.select(*keys, "least", "sign", F.xxhash64(*keys).alias("cls")), "classes")
+    common = frequent(whole)
+    rows = scratch(whole.select("doc_id", *keys), "rows")
+    discard(whole)
+    release(spark)
     chosen = classes.select(F.col("least").alias("doc_id"), "n_shingles", "d1", "cls")
     ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m"))
     repeated = not ids.where("m > 1").isEmpty()
-    index = scratch(_index(docs, chosen, frequent(classes), repeated), "index")
+    index = scratch(_index(docs, common), "index")
+    release(spark)
     signs = classes.select("cls", F.col("n_shingles").alias("n"), "sign")
     member = linked_classes(index, signs, _texts(docs, chosen, repeated))
-    named = classes.select(*keys, "cls", "least").join(member, F.col("cls") == F.col("node"), "left")
-    named = named.withColumn("component", F.coalesce("component", "cls"))
+    discard(index)
+    named = _named(classes.select(*keys, "cls", "least"), member)
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     # classes that stand alone need no join: they are known by their own smallest id
     moved = named.join(smallest, "component").where("component_id <> least").select(*keys, "component_id")
     copied = rows.where("doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1")
     known = copied.select(*keys, "least").join(moved, keys, "full").select(*keys, F.coalesce("component_id", "least").alias("component_id"))
+    known = scratch(known, "known")
+    discard(classes, member)
+    release(spark)
     out = rows.select("doc_id", *keys).join(known, keys, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
