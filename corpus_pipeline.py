@@ -54,7 +54,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = docs.where("doc_id is not null")
     if named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         groups = scratch(jaccard.near_duplicates(docs).select("doc_id", "component_id"), "groups")
-        copies = groups.where(F.col("doc_id") <> F.col("component_id")).select("doc_id")
+        copies = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
         kept = jaccard.without(named, copies, "doc_id").select(*docs.columns)
     else:
         digest, row = _fresh(docs, "text_digest", "row")
