@@ -19,7 +19,7 @@ pairs members of different components. The last round pairs what is still apart.
 
 *Frequent shingles.* Their lists are long: a group of near copies shares all of them, and its members need not
 be similar to each other. Classes that meet in such lists form families; a pair that shares a frequent shingle of both
-prefixes is of one family, any other pair must share l rare ones. A family is one more list in the rounds of centres,
+prefixes is of one family, any other pair must share l rare ones. Families come first. Their members also meet centres,
 so that most near copies join one component at a linear cost. Only the classes outside the family's largest component are then
 compared with all others: a family is cut into size classes (similar sets are in the same or
 neighbouring ones) and blocks; each pair of blocks is one task, which counts all common
@@ -414,9 +414,6 @@ def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame | Non
     spark = index.sparkSession
     columns = ("cls", "n", "k", "component")
     families = _families(index)
-    rare = index.where("not often").select("shingle", "cls", "n", "k")
-    # a family is one more list, in which one match is enough
-    lists = rare.unionByName(families.select(F.col("family").alias("shingle"), "cls", "n", F.lit(1).cast("long").alias("k")))
     member: DataFrame | None = None
     done: list[DataFrame] = []
 
@@ -439,28 +436,42 @@ def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame | Non
         discard(member, *spent)
         return out
 
-    for turn in range(STAR_ROUNDS):
-        named = _named(lists, member)
-        order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), *columns)
-        ends = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("c"))
-        # a list whose members are in one component has nothing more to tell
-        kept = scratch(named.join(ends.where("low < high").select("shingle", "c"), "shingle"), "lists")
+    def centred(turn: int):
+        return F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), *columns))
+
+    def met(kept: DataFrame) -> DataFrame:
+        """Pairs of a list's centre and its members in other components."""
         meet = kept.select("*", *(F.col(f"c.{x}").alias(f"{x}_a") for x in columns))
         meet = meet.where((F.col("component") != F.col("component_a")) & _sized("n", "n_a"))
-        member = linked(_agreed(meet.select(F.col("cls_a").alias("a"), "k_a", F.col("cls").alias("b"), F.col("k").alias("k_b"))), member)
-        discard(lists)
-        lists = kept.select("shingle", "cls", "n", "k")
-        lists._scratch = kept._scratch
-        release(spark)
+        return _agreed(meet.select(F.col("cls_a").alias("a"), "k_a", F.col("cls").alias("b"), F.col("k").alias("k_b")))
 
+    # families may be large, so their centres are aggregated before they meet the members; one match is enough
+    one = families.withColumn("k", F.lit(1).cast("long"))
+    for turn in range(STAR_ROUNDS):
+        named = _named(one, member)
+        ends = named.groupBy("family").agg(F.min("component").alias("low"), F.max("component").alias("high"), centred(turn).alias("c"))
+        # a list whose members are in one component has nothing more to tell
+        member = linked(met(named.join(ends.where("low < high").select("family", "c"), "family")), member)
     links = _cells(families, member, texts)
     if not links.isEmpty():
         member = joined(links, member)
-    discard(links)
+    discard(links, families, *done)
+    done.clear()
     release(spark)
 
-    rows = lists.join(families.select(F.col("family").alias("shingle"), "cls"), ["shingle", "cls"], "left_anti")
-    rows = scratch(_apart(_named(rows, member), "shingle"), "rest")
+    rare = index.where("not often").select("shingle", "cls", "n", "k")
+    of_list = Window.partitionBy("shingle")
+    ends = {"low": F.min("component").over(of_list), "high": F.max("component").over(of_list)}
+    for turn in range(STAR_ROUNDS):
+        kept = _named(rare, member).withColumns(ends | {"c": centred(turn).over(of_list)}).where("low < high")
+        kept = scratch(kept.drop("low", "high"), "lists")
+        member = linked(met(kept), member)
+        discard(rare)
+        rare = kept.select("shingle", "cls", "n", "k")
+        rare._scratch = kept._scratch
+        release(spark)
+    left = scratch(_named(rare, member).withColumns(ends).where("low < high").drop("low", "high"), "left")
+    rows = scratch(_apart(left, "shingle"), "rest")
     other = rows.select("shingle", F.col("rest").alias("rest_a"), *(F.col(x).alias(f"{x}_a") for x in columns))
     meet = rows.where("rest").join(other, "shingle").where((F.col("component") != F.col("component_a")) & _sized("n", "n_a"))
     # two of the rest meet from both sides; once is enough
@@ -468,7 +479,7 @@ def linked_classes(index: DataFrame, signs: DataFrame, texts) -> DataFrame | Non
     pair = [F.least("cls", "cls_a").alias("a"), F.when(F.col("cls") < F.col("cls_a"), F.col("k")).otherwise(F.col("k_a")).alias("k_a")]
     pair += [F.greatest("cls", "cls_a").alias("b"), F.when(F.col("cls") < F.col("cls_a"), F.col("k_a")).otherwise(F.col("k")).alias("k_b")]
     member = linked(_agreed(meet.select(*pair)), member)
-    discard(lists, rows, families, *done)
+    discard(rare, left, rows, *done)
     release(spark)
     return member
 
