@@ -312,6 +312,24 @@ def test_equal_hashes_of_different_forms_are_told_apart(spark, monkeypatch):
     assert out[1] == out[3] != out[2] and len(set(out.values())) == 3
 
 
+def test_edited_texts_are_told_apart_like_texts(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "wide_hash", lambda form: F.char_length(form).cast("string"))
+    rows = [(1, "aaaa"), (2, "bbbb"), (3, "AAAA"), (4, "cccc"), (5, "AAAB"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("form", F.lit("clash"))
+    for out in (fingerprint.resolved(docs), fingerprint.resolved(docs, fingerprint.fingerprint(docs))):
+        found = {r["doc_id"]: r for r in out.collect()}
+        prints = {}  # by text
+        for k, (i, t) in enumerate(rows):
+            edited = (t or "")[:3] + (rows[(k + 1) % len(rows)][1] or "")[:1] if t else ""
+            edited = t if t and not (rows[(k + 1) % len(rows)][1]) else edited
+            prints.setdefault((t or "").lower(), set()).add(found[i]["fingerprint"])
+            if found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest():
+                prints.setdefault(edited.lower(), set()).add(found[i]["edited_fingerprint"])
+        assert all(len(x) == 1 for x in prints.values())
+        assert len(set.union(*prints.values())) == len(prints)
+        assert found[1]["near_next"] == 0.0 and found[1]["near_edited"] == 0.0 and found[6]["near_edited"] == 1.0
+
+
 def dice(a, b):
     a, b = set(license_scan.bigrams_of(a)), set(license_scan.bigrams_of(b))
     return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0.0
