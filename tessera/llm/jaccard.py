@@ -191,8 +191,10 @@ def _index(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     rows = arrow_map(docs.select("doc_id", "text"), run, schema)
     # size and requirement travel as one number, which is negative for frequent shingles
     size = F.col("n_shingles") * (MOST_MATCHES + 1) + F.col("k")
-    marked = F.concat(*(F.transform(c, lambda x, nk=nk: F.struct(x.alias("shingle"), nk.alias("nk"))) for c, nk in (("rare", size), ("often", -size))))
-    each = rows.select(F.xxhash64("n_shingles", "d1", "d2").alias("cls"), F.explode(marked).alias("x")).select("x.shingle", "cls", "x.nk")
+    def marked(column: str, nk):
+        return F.transform(column, lambda x: F.struct(x.alias("shingle"), nk.alias("nk")))
+
+    each = rows.select(F.xxhash64("n_shingles", "d1", "d2").alias("cls"), F.explode(F.concat(marked("rare", size), marked("often", -size))).alias("x")).select("x.shingle", "cls", "x.nk")
     # lists of rare shingles are short, so one exchange serves to count and to keep; frequent ones are only passed on
     spread = F.when(F.col("nk") < 0, F.pmod(F.xxhash64("cls"), F.lit(1024))).otherwise(0)
     low, high = (f("cls").over(Window.partitionBy("shingle", "spread")) for f in (F.min, F.max))
