@@ -59,6 +59,26 @@ def schema_with(df: DataFrame, **added: str) -> StructType:
     return StructType([*df.schema.fields, *(StructField(name, DataType.fromDDL(kind)) for name, kind in added.items())])
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with leading underscores where ``docs`` has such a column (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_room(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` without columns called ``names`` (in any case): those get leading underscores and keep their values."""
+    for name in names:
+        for column in [c for c in docs.columns if c.lower() == name.lower()]:
+            docs = docs.withColumnRenamed(column, *fresh(docs, column))
+    return docs
+
+
 #: Rows of an Arrow batch: texts are large, and a task holds a batch several times.
 ARROW_ROWS = 256
 

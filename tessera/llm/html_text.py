@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, least_hashed, schema_with, table
+from tessera.llm.common import arrow_map, least_hashed, schema_with, table, with_room
 from tessera.llm.shingles import word_hashes
 
 #: Pages that the network may learn from.
@@ -493,11 +493,14 @@ def sample(pages: DataFrame, n: int = MAX_TRAIN) -> list[str]:
     if last is None:
         return []
     chosen = rows.where(F.xxhash64("h") <= last).select("h", F.xxhash64("html").alias("h2"), "html")
-    return [r["html"] for r in sorted(chosen.limit(2 * n).collect(), key=lambda r: (r["h"], r["h2"]))][:n]
+    # pages of one id follow each other by their contents, and equal ones count once
+    return [r["html"] for r in chosen.dropDuplicates(["h", "h2"]).orderBy("h", "h2").limit(n).collect()]
 
 
 def extract(pages: DataFrame, net: Labeller, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` with the article text; all other columns pass through, the html goes."""
+    if text_col != html_col:
+        pages = with_room(pages, text_col)
     held = pages.sparkSession.sparkContext.broadcast(net)
     at = pages.columns.index(html_col)
     others = [c for c in pages.columns if c != html_col]

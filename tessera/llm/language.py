@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table
+from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table, with_room
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -88,7 +88,8 @@ class Model:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Languages and posterior probabilities of a batch, by one sparse product.
 
-        The posterior takes the mean log-likelihood of up to ``EVIDENCE`` n-grams: n-grams of a
+        The language is that of the greatest posterior, from all n-grams of a text. Its score is tempered: it takes the
+        mean log-likelihood of ``EVIDENCE`` n-grams where there are more, as n-grams of a
         text depend on each other, and the plain sum would call every long text certain.
         """
         rows = [cells(t or "") for t in texts]
@@ -102,16 +103,16 @@ class Model:
             starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
             like = np.add.reduceat(self.weights[at] * n[:, None], starts)
             total = np.add.reduceat(n, starts)
+            best[full] = (like + self.prior).argmax(axis=1)
             like = like * (np.minimum(total, EVIDENCE) / total)[:, None] + self.prior
             like -= like.max(axis=1, keepdims=True)
             p = np.exp(like)
             p /= p.sum(axis=1, keepdims=True)
-            best[full] = p.argmax(axis=1)
-            score[full] = p.max(axis=1)
+            score[full] = p[np.arange(len(full)), best[full]]
         return [self.langs[k] if k >= 0 else UNKNOWN for k in best], score
 
 
-#: n-grams that count as independent evidence at most.
+#: n-grams that count as independent evidence for the score (not for the language) at most.
 EVIDENCE = 300.0
 
 
@@ -121,7 +122,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     labelled = docs.where("lang is not null and text is not null").select(
         "lang", "text", F.xxhash64(F.col("doc_id"), F.crc32(F.col("text").cast("binary"))).alias("h")
     )
-    bound = least_hashed(labelled.select("h"), max_train, "h").agg(F.max(F.xxhash64("h"))).first()[0]
+    # rows of one id and text are one example, however many they are
+    bound = least_hashed(labelled.select("h").distinct(), max_train, "h").agg(F.max(F.xxhash64("h"))).first()[0]
     if bound is None:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
 
@@ -141,7 +143,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
             n = np.concatenate((s[at], [docs_of[lang]])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cell)), pa.array(cell), pa.array(n)], ["lang", "cell", "n"])
 
-    counted = arrow_map(labelled.where(F.xxhash64("h") <= bound).select("lang", "text"), count, "lang string, cell long, n long")
+    chosen = labelled.where(F.xxhash64("h") <= bound).dropDuplicates(["h", "lang", "text"]).select("lang", "text")
+    counted = arrow_map(chosen, count, "lang string, cell long, n long")
     pdf = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()  # languages x cells at most
     langs = sorted(pdf["lang"].unique())
     index = {x: k for k, x in enumerate(langs)}
@@ -155,6 +158,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", lang_col: str = "lang_pred", score_col: str = "lang_score") -> DataFrame:
     """``docs`` with a predicted language and its probability; all other columns pass through."""
+    docs = with_room(docs, lang_col, score_col)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
     schema = schema_with(docs, **{lang_col: "string", score_col: "double"})

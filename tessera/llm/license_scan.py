@@ -33,7 +33,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import table, with_room
 
 LEAST = 0.8
 
@@ -162,7 +162,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
             lambda s: F.struct(x["unit"].alias("unit"), s["dice"].alias("dice"), s["license"].alias("license")),
         )
 
-    return docs.withColumn("matches", F.flatten(F.transform(numbered, of)))
+    return with_room(docs, "matches").withColumn("matches", F.flatten(F.transform(numbered, of)))
 
 
 def _words(unit: Column) -> Column:
@@ -245,7 +245,7 @@ def with_runs(docs: DataFrame, templates: dict[str, str] | None = None, least: f
 
     held = F.array_intersect(_bigrams(text), known)
     runs = F.flatten(F.transform(F.array(held), lambda x: F.when(F.size(x) > 0, of(x)).otherwise(none)))
-    return docs.withColumn("runs", F.when(text.rlike(_anchor_pattern(templates, least)), runs).otherwise(none))
+    return with_room(docs, "runs").withColumn("runs", F.when(text.rlike(_anchor_pattern(templates, least)), runs).otherwise(none))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

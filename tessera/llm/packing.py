@@ -53,15 +53,15 @@ class WordTokeniser:
     """Ids of a text by a ``tokenizers`` file, through a bounded cache of what stands between spaces.
 
     The file's pre-tokeniser splits a text into words that are encoded separately, so a
-    word's ids may be kept. Texts with code points outside the simple range go to the
-    tokeniser whole.
+    word's ids may be kept. Texts with code points outside the simple range or with an added token of the file
+    go to the tokeniser whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)", re.I).search
         letters = _ranges(lambda cat, _: cat[0] == "L")
         numbers = _ranges(lambda cat, _: cat[0] == "N")
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{letters}{numbers}]+")
@@ -93,7 +93,7 @@ class WordTokeniser:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers. What the texts lack in the cache is
         learned together."""
-        split = [t.lower().split() if self.simple(t) else None for t in texts]
+        split = [t.lower().split() if self.simple(t) and not self.special(t) else None for t in texts]
         known = self.chunks
         unseen = {c for s in split if s for c in s}.difference(known)
         if len(known) + len(unseen) > CACHE_WORDS and known:

@@ -4,9 +4,10 @@ Base rules find e-mail addresses, IP addresses, payment cards and telephone numb
 pattern and check. High-recall generators propose further, overlapping spans (other
 separators, bracketed dots, numbers without a country code). Boosted trees score each
 proposal by format and context; a threshold that is calibrated on the labelled proposals
-selects what is added. Base spans always stay.
+selects what is added, and of added spans that overlap each other the best stands. Base spans always stay.
 
-Learning: a proposal that covers just a base span is a positive; one that lies in a word, meets
+Learning: a proposal that covers just a base span is a positive, and so is one of another form that passes its kind's check
+behind a word that announces it; one that lies in a word, meets
 a base span of another kind or fails the kind's check is a negative; the rest is unlabelled. Features are small integers, so all
 labelled proposals of the whole table fit into one grouped count per feature combination
 (their number is bounded by the features' ranges); the driver grows the trees from those
@@ -17,7 +18,8 @@ the lengths of both give every hit's place in code points.
 
 Defined results for odd input: null text is the empty text (no spans; digest of the
 empty string); rows with equal or null ids give a row each; an empty table gives no
-rows; extra columns are ignored by ``scan``.
+rows; ``scan`` passes extra columns on; ones called like its own two get a leading underscore. Whole texts are read, however long;
+equal scores are settled by length, then place.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import fresh, table, with_room
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -113,7 +115,7 @@ def of_kind(found: Column, kind: str) -> Column:
 # ---------------------------------------------------------------- proposals
 
 
-FEATURES = ("kind", "n_digits", "groups", "separator", "plain", "check", "before", "after", "cue", "size")
+FEATURES = ("kind", "n_digits", "groups", "separator", "plain", "check", "before", "after", "cue", "size", "meets")
 
 
 def _edge(c: Column) -> Column:
@@ -123,7 +125,7 @@ def _edge(c: Column) -> Column:
     )
 
 
-def _features(kind: str, text: Column, span: Column) -> Column:
+def _features(kind: str, text: Column, span: Column, meets: Column) -> Column:
     hit, d = span["hit"], digits(span["hit"])
     before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, F.least(span["start"], F.lit(CONTEXT)))
     after = F.substring(text, span["end"] + 1, F.lit(1))
@@ -151,13 +153,14 @@ def _features(kind: str, text: Column, span: Column) -> Column:
         _edge(after).alias("after"),
         before.rlike(_CUES[kind]).cast("int").alias("cue"),
         F.least(F.floor(F.log2(F.char_length(hit) + F.lit(1))), F.lit(7)).cast("int").alias("size"),
+        meets.cast("int").alias("meets"),
     )
 
 
 def _proposals(kind: str, text: Column, base: dict[str, Column]) -> Column:
     """array<struct<start, end, label, inside, x>>; label 1, 0 or null (unlabelled).
 
-    inside: the span overlaps a base span of any kind.
+    inside: the span overlaps a base span of its own kind.
     """
 
     def meets(span: Column, kinds) -> Column:
@@ -166,11 +169,12 @@ def _proposals(kind: str, text: Column, base: dict[str, Column]) -> Column:
     def one(span: Column) -> Column:
         same = F.exists(base[kind], lambda b: (b["start"] == span["start"]) & (b["end"] == span["end"]))
         own, other = meets(span, [kind]), meets(span, [k for k in KINDS if k != kind])
-        inside = own | other
-        x = _features(kind, text, span)
+        x = _features(kind, text, span, other)
         in_word = x["before"].isin(2, 3) | x["after"].isin(2, 3)
         label = F.when(same, 1).when(~own & (other | in_word | (x["check"] == 0)), 0)
-        return F.struct(span["start"].alias("start"), span["end"].alias("end"), label.alias("label"), inside.alias("inside"), x.alias("x"))
+        if kind != "phone":  # whose check is too weak to be evidence
+            label = label.when(~own & (x["cue"] == 1), 1)
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), label.alias("label"), own.alias("inside"), x.alias("x"))
 
     return F.transform(spans(text, WIDE[kind], NEEDS[kind]), one)
 
@@ -264,25 +268,46 @@ def train(docs: DataFrame) -> dict[str, list]:
 # ---------------------------------------------------------------- the operator
 
 
-def _selected(proposals: Column, trees: list, threshold: float) -> Column:
-    return F.filter(proposals, lambda c: ~c["inside"] & c["label"].isNull() & (score(trees, c["x"]) >= threshold))
+def _selected(kind: str, proposals: Column, trees: list, threshold: float) -> Column:
+    """array<struct<p, end, start, kind>> of the proposals that reach the threshold; p is the score."""
+    scored = F.transform(
+        F.filter(proposals, lambda c: ~c["inside"]),
+        lambda c: F.struct(score(trees, c["x"]).alias("p"), c["end"].alias("end"), c["start"].alias("start"), F.lit(kind).alias("kind")),
+    )
+    return F.filter(scored, lambda c: c["p"] >= threshold)
+
+
+def _best(found: Column) -> Column:
+    """Of spans that overlap each other the one of the best score, then the longer one, then the first."""
+    order = F.array_sort(F.transform(found, lambda c: F.struct((-c["p"]).alias("p"), (c["start"] - c["end"]).alias("size"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
+    none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
+
+    def step(kept: Column, c: Column) -> Column:
+        span = F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
+        clash = F.exists(kept, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(span)))
+
+    return F.aggregate(order, none, step)
 
 
-def scan(docs: DataFrame, model: dict[str, list]) -> DataFrame:
-    """``docs`` (all columns) with ``base`` and ``added``: arrays of kind, start, end in code points."""
+def scan(docs: DataFrame, model: dict[str, list], base_col: str = "base", added_col: str = "added") -> DataFrame:
+    """``docs`` (all columns) with base and added spans: arrays of kind, start, end in code points."""
+    docs = with_room(docs, base_col, added_col)
+    held = dict(zip(KINDS, fresh(docs, *(f"of_{k}" for k in KINDS))))
     clean = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumns({f"_b_{k}": v for k, v in base_spans(clean).items()})
+    out = docs.withColumns({held[k]: v for k, v in base_spans(clean).items()})
 
-    def named(k: str, found: Column) -> Column:
-        return F.transform(found, lambda x: F.struct(F.lit(k).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    def named(kind: str) -> Column:
+        return F.transform(F.col(held[kind]), lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
+    base = F.concat(*map(named, KINDS))
+    none = F.expr("cast(array() as array<struct<p:double,end:int,start:int,kind:string>>)")
     added = []
     for k in KINDS:
         trees, threshold = model[k]
-        chosen = _selected(_proposals(k, clean, {b: F.col(f"_b_{b}") for b in KINDS}), trees, threshold)
-        added.append(named(k, chosen if math.isfinite(threshold) and trees else F.slice(F.col(f"_b_{k}"), 1, 0)))
-    base = [named(k, F.col(f"_b_{k}")) for k in KINDS]
-    return out.withColumns({"base": F.concat(*base), "added": F.concat(*added)}).drop(*(f"_b_{k}" for k in KINDS))
+        if math.isfinite(threshold) and trees:
+            added.append(_selected(k, _proposals(k, clean, {b: F.col(held[b]) for b in KINDS}), trees, threshold))
+    return out.withColumns({base_col: base, added_col: _best(F.concat(none, *added))}).drop(*held.values())
 
 
 def joined(found: Column) -> Column:
@@ -296,13 +321,14 @@ def ordered(found: Column) -> Column:
 
 
 def redact(text: Column, found: Column) -> Column:
-    """``text`` with each span replaced by its kind in brackets; of overlapping spans the first stands."""
+    """``text`` with each span replaced by its kind in brackets; spans that overlap are replaced as one, by the first's kind."""
     by_start = F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.when(x["start"] >= acc["at"], F.struct(x["end"].alias("at"), piece.alias("out"))).otherwise(acc)
+        one = F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when(x["start"] >= acc["at"], F.struct(x["end"].alias("at"), piece.alias("out"))).otherwise(one)
 
     rest = F.aggregate(by_start, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text) - acc["at"])))
     return F.when(F.size(found) > 0, rest).otherwise(text)

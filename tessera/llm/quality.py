@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table
+from tessera.llm.common import arrow_map, crc_mod, least_hashed, schema_with, table, with_room
 
 #: Labelled documents that the trees may learn from.
 MAX_TRAIN = 12_000
@@ -193,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> For
 
 def score(docs: DataFrame, forest: Forest, text: str = "text", score_col: str = "quality_score") -> DataFrame:
     """``docs`` with the probability of good quality; all other columns pass through."""
+    docs = with_room(docs, score_col)
     held = docs.sparkSession.sparkContext.broadcast(forest)
     at = docs.columns.index(text)
     schema = schema_with(docs, **{score_col: "double"})

@@ -31,14 +31,12 @@ def odd(spark):
 def word_tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizers.path("word_bpe_49k.json"))
 
 
 def test_words_are_encoded_like_whole_texts(word_tokenizer):
     own = packing.WordTokeniser(tokenizers.path("word_bpe_49k.json"))
-    texts = [t for t in ODD if t] + ["It's we'll 'S x's ½²³ ŉ İstanbul", "<|endoftext|> it''s 12ab_c", "don't stop", "ΑΣ sigma", "à é"]
+    texts = [t for t in ODD if t] + ["It's we'll 'S x's ½²³ ŉ İstanbul", "<|endoftext|> it''s 12ab_c", "a<|startoftext|>b  <|endoftext|>", "<|ENDOFTEXT|> <|end", "don't stop", "ΑΣ sigma", "à é"]
     for text, ids in zip(texts, own.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids, text
 
@@ -279,6 +277,31 @@ def test_added_spans_and_redaction(spark):
     assert out[101]["clean"] == "nothing here 12" and not out[101]["base"]
 
 
+def test_overlapping_spans_are_redacted_whole(spark):
+    found = F.expr("array(named_struct('kind', 'ip', 'start', 3, 'end', 6), named_struct('kind', 'phone', 'start', 5, 'end', 9), named_struct('kind', 'card', 'start', 9, 'end', 10))")
+    one = spark.createDataFrame([("0123456789ab",)], "text string").select(pii.redact(F.col("text"), found).alias("out")).first()
+    assert one["out"] == "012[IP][CARD]ab"
+    spans = "named_struct('p', {}, 'end', {}, 'start', {}, 'kind', '{}')"
+    best = F.expr("array(" + ", ".join(spans.format(*x) for x in ((0.5, 9, 0, "ip"), (0.7, 12, 8, "phone"), (0.7, 13, 8, "card"), (0.1, 20, 13, "ip"))) + ")")
+    kept = spark.range(1).select(pii._best(best).alias("x")).first()["x"]
+    assert [tuple(x) for x in kept] == [("card", 8, 13), ("ip", 13, 20)]
+
+
+def test_users_columns_keep_their_values(spark, labeller):
+    names = "base added matches runs quality_score Lang_Pred lang_score of_ip"
+    docs = spark.createDataFrame([(1, "mail a@b.c, MIT License", *names.split())], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names.split()))
+    for out in (
+        pii.scan(docs, pii.train(docs)), license_scan.with_runs(license_scan.scan(docs)),
+        quality.score(docs, quality.grow(np.zeros((0, len(quality.NAMES))), np.zeros(0))), language.predict(docs, language.train(docs.where("false").withColumn("lang", F.lit("en")))),
+    ):
+        row = out.first().asDict()
+        assert len(set(out.columns)) == len(out.columns)
+        for n in names.split():
+            assert n in (row.get(n), row.get(f"_{n}"))
+    pages = spark.createDataFrame([(1, "<p>Hi</p>", "mine")], "page_id long, html string, text string")
+    assert html_text.extract(pages, labeller).columns == ["page_id", "_text", "text"]
+
+
 # ---------------------------------------------------------------- fingerprints and licences
 
 
