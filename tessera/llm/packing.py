@@ -38,7 +38,7 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # ---------------------------------------------------------------- tokenising
 
 #: Cached chunks of a worker; the cache starts anew beyond this. Texts that are encoded together.
-CACHE_WORDS, GROUP = 800_000, 16
+CACHE_WORDS, GROUP = 250_000, 16
 #: Code points below this are composed, so NFC leaves a text of them as it is.
 SIMPLE_BELOW = 0x250
 _TOKENISERS: dict[str, WordTokeniser] = {}  # one per worker and file
