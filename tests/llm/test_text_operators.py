@@ -150,6 +150,29 @@ def test_bpe_of_random_bytes(monkeypatch):
         assert own.digests([text])[0][:2] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
 
 
+@pytest.mark.parametrize("kind", ["pair", "letters", "few", "one", "run", "spaces", "bytes"])
+def test_bpe_of_long_pieces(monkeypatch, kind):
+    import tiktoken
+
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    monkeypatch.setattr(bpe, "STEP_ROWS", 30_000)  # restarts
+    own = bpe.RankCodec(path, tokenizers.PATTERN)
+    lib = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    rng = random.Random(2)
+    text = {
+        "pair": "ab" * 20_000,
+        "letters": "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)),
+        "few": "".join(rng.choices("aeinstrth", k=6_000)),
+        "one": "a" * 9_999,
+        "run": "".join(rng.choices(["the", "and", "ing", "on", "an", "s", "ation"], k=3_000)),
+        "spaces": " " * 1_000_000,
+        "bytes": "".join(rng.choices("é日ßabñ", k=4_000)),
+    }[kind]
+    pieces = own.split(text)
+    ids = [i for p in pieces for i in lib._encode_single_piece(p)]
+    assert own.digests([text])[0] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
 # ---------------------------------------------------------------- language and quality
 
 
@@ -494,6 +517,38 @@ def test_blocks_after_heads_and_dropped_elements_without_end():
         assert [b.text for b in html_text.blocks(page)] == want, page
 
 
+def test_attributes_controls_and_formulas():
+    cases = {
+        "<article><a title=it's>one</a><p>two</p> it's three</article>": ["one", "two", "it's three"],
+        "<p>A text <button>Go</button> continues <label>so</label> <select><option>1</select>on": ["A text continues so on"],
+        "<p>x <math><mi>a</mi>=<mi>b</mi></math> y": ["x a=b y"],
+        "<p a = '>' b=\"'>\" c='\">\" >'>in</p>out": ["in", "out"],
+        "<p class=a'b\"c>in</p>out": ["in", "out"],
+        "<p>in</p><p title='open>out</p>": ["in"] + ["out"],
+        "<p>in <button>left open</p>out": ["in left open", "out"],
+        "<p>a <b and so on": ["a <b and so on"],
+        "<script src='x' />in": ["in"],
+        "<script>no</script >in<!doctype html><? no ?>": ["in"],
+    }
+    for page, want in cases.items():
+        assert [b.text for b in html_text.blocks(page)] == want, page
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    n = 1_000_000
+    pages = ["<a '" * (n // 4), '<a b="' * (n // 6), "<!-" * (n // 3), "<div>" * (n // 5), "<div>a" * (n // 6), "<p><b>" * (n // 6), "<svg>" * (n // 5), "<script>" * (n // 8), "<head><title>" * (n // 13), "=" * n, "<a =" * (n // 4)]
+    for page in pages:
+        began = time.process_time()
+        found = html_text.blocks(page)
+        assert time.process_time() - began < 5, page[:20]
+    deep = "".join(f"<div class=c{k}>x{k}" for k in range(500)) + "</div>" * 500 + "end"
+    found = html_text.blocks(deep)
+    assert [b.text for b in found] == [*(f"x{k}" for k in range(500)), "end"] and not found[-1].path
+    assert max(len(b.path) for b in found) == html_text.MAX_DEPTH
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     net = html_text.Labeller()
