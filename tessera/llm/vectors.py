@@ -15,9 +15,9 @@ vectors are cut into blocks, and each pair of blocks is a task of its own.
 
 Defined results for odd input: vectors that are null, empty, zero, or hold null or non-finite
 components, and rows with null labels, link with nothing; vectors of different lengths do
-not link; rows with equal vec_id are separate vectors that share an id (a component is known by
+not link; vectors of very large or small components are scaled before they are squared; rows with equal vec_id are separate vectors that share an id (a component is known by
 its smallest id); null vec_ids take part but cannot name a component; an empty table gives
-no rows; extra columns are ignored.
+no rows; extra columns are ignored, whatever their names; very long vectors are compared whole.
 """
 
 from __future__ import annotations
@@ -51,6 +51,13 @@ def directions(dim: int, bits: int, tables: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).standard_normal((dim, bits * tables))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors of largest component 1 in absolute value (about, for the smallest numbers), whose squares neither overflow nor vanish."""
+    _, power = np.frexp(np.abs(x).max(axis=1, initial=0))
+    half = power // 2  # in two steps, as one power of two may be out of range
+    return np.ldexp(np.ldexp(x, -half[:, None]), (half - power)[:, None])
+
+
 def _signed(vectors: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
     """One row per vector and table: bucket, key, copies, vector (components of numpy type ``kind``), signatures."""
 
@@ -63,12 +70,12 @@ def _signed(vectors: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
                 out: list[tuple] = []
                 for dim in sorted({len(v) for v in vecs}):
                     here = [i for i, v in enumerate(vecs) if len(v) == dim]
-                    x = np.array([vecs[i] for i in here], dtype=np.float64)
+                    x = scaled(np.array([vecs[i] for i in here], dtype=np.float64))
                     signs = (x @ directions(dim, bits, tables) > 0).reshape(len(here), tables, bits)
                     sig = signs @ (1 << np.arange(bits))
                     for row, i in enumerate(here):
                         own = sig[row].astype("<i4").tobytes()
-                        payload = x[row].astype(kind).tobytes()
+                        payload = np.asarray(vecs[i], dtype=kind).tobytes()
                         out += [(f"{labels[i]}/{dim}/{t}/{sig[row, t]}", keys[i], copies[i], payload, own) for t in range(tables)]
                 cols = list(zip(*out))
                 types = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -111,6 +118,7 @@ def _compare(tasks: DataFrame, cosine: float, kind: str) -> DataFrame:
             weight = group["copies"].to_numpy().astype(np.float64)
             x = np.frombuffer(b"".join(group["vec"].to_pylist()), dtype=kind).reshape(len(key), -1).astype(np.float64)
             sigs = np.frombuffer(b"".join(group["sigs"].to_pylist()), dtype="<i4").reshape(len(key), -1)
+            x = scaled(x)
             x = x / np.sqrt((x * x).sum(axis=1))[:, None]
             a, b = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
             links, root = np.zeros(len(key)), np.arange(len(key))

@@ -194,3 +194,36 @@ def test_odd_vectors(spark):
     assert got == sorted([*alone, (8, 2, 8, True), (8, 2, 8, True), (None, 2, 8, False)], key=repr)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(empty).count() == 0
+
+
+def test_extreme_vectors(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 0.0]), (4, [3e-310, 0.0]), (5, [1e308, -1e308]), (6, [1.0, -1.0]), (7, [-1e200, 0.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["component_id"], r["n_links"]) for r in vectors.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 1), 4: (3, 1), 5: (5, 1), 6: (5, 1), 7: (7, 0)}
+
+
+def test_index_rows_carry_their_class_and_requirement(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(300)]
+    rows = list(enumerate(family(rng, vocabulary, 6, 60, 3) + family(rng, vocabulary, 3, 40, 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: shingles.shingle_set(t) for i, t in rows}
+    every = np.concatenate([np.unique(s) for s in {s.tobytes(): s for s in sets.values()}.values()])
+    keys, counts = np.unique(every, return_counts=True)
+    common = keys[counts > 1], counts[counts > 1] * 30  # from four classes on frequent
+    want = {}
+    for s in sets.values():
+        rare, often, k = jaccard.prefix(s, *common)
+        for x, flag in [(x, False) for x in rare.view(np.int64).tolist()] + [(x, True) for x in often.view(np.int64).tolist()]:
+            want.setdefault((x, len(s), k, flag), set()).add(jaccard.digests(s))
+    got = {}
+    for r in jaccard._index(docs, common).collect():
+        got.setdefault((r["shingle"], r["n"], r["k"], r["often"]), set()).add(r["cls"])
+    assert all(k in want for k in got) and any(k[3] for k in got) and any(not k[3] for k in got)
+    held = {}
+    for (x, *_), classes in want.items():
+        held.setdefault(x, set()).update(classes)
+    # frequent shingles all stay; rare ones if two classes have them
+    assert {k for k in want if k[3] or len(held[k[0]]) > 1} == set(got)
+    assert all(len(got[k]) == len(want[k]) for k in got)
