@@ -81,15 +81,15 @@ def range_overlap(spark, sf_dir):
 
 
 def _matched(spark, sf_dir):
-    """Suppliers as focals: their first line is observed, up to five more are controls."""
+    """Suppliers as focals: their first line is observed, all others are controls."""
     rank = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_extendedprice"))
-    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice").withColumn("n", rank).where("n <= 6")
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice").withColumn("n", rank)
     role = F.when(F.col("n") == 1, "observed").otherwise("control")
     return rows.select((F.col("l_suppkey") % 3).alias("g"), F.col("l_suppkey").alias("focal"), role.alias("role"), F.col("l_extendedprice").alias("score"))
 
 
 _MATCHED = """ranked AS (SELECT l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS n FROM lineitem),
-m AS (SELECT l_suppkey % 3 AS g, l_suppkey AS focal, CASE WHEN n = 1 THEN 'observed' ELSE 'control' END AS role, l_extendedprice AS score FROM ranked WHERE n <= 6)"""
+m AS (SELECT l_suppkey % 3 AS g, l_suppkey AS focal, CASE WHEN n = 1 THEN 'observed' ELSE 'control' END AS role, l_extendedprice AS score FROM ranked)"""
 
 
 @query("matching_rate", f"""WITH {_MATCHED}
@@ -101,11 +101,11 @@ def matching_rate(spark, sf_dir):
 
 
 @query("weighted_ecdf", f"""WITH {_MATCHED}, w AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY g, focal, role) AS w FROM m),
-q AS (SELECT g, quantile_cont(score, 0.005) AS lo, (quantile_cont(score, 0.995) - quantile_cont(score, 0.005)) / 20 AS step FROM m GROUP BY 1),
-grid AS (SELECT g, lo, step, unnest(range(0, 21)) AS k FROM q)
+q AS (SELECT g, quantile_cont(score, 0.005) AS lo, (quantile_cont(score, 0.995) - quantile_cont(score, 0.005)) / 120 AS step FROM m GROUP BY 1),
+grid AS (SELECT g, lo, step, unnest(range(0, 121)) AS k FROM q)
 SELECT grid.g, role, k::INTEGER AS k, round(lo + k * step, 3) AS x, round(sum(CASE WHEN k >= ceil((score - lo) / step - 1e-9) THEN w ELSE 0 END) / sum(w), 6) AS fraction FROM grid JOIN w ON w.g = grid.g GROUP BY grid.g, role, k, lo, step""")
 def weighted_ecdf(spark, sf_dir):
-    out = stats.weighted_ecdf(_matched(spark, sf_dir), ["g"], "focal", "role", "score", 21)
+    out = stats.weighted_ecdf(_matched(spark, sf_dir), ["g"], "focal", "role", "score")
     return out.withColumns({"x": F.round("x", 3), "fraction": F.round("fraction", 6)})
 
 

@@ -170,21 +170,21 @@ def group_histogram(spark, sf_dir):
 
 
 @query("complete_means", """
-WITH p AS (SELECT o_orderkey, unnest(range(o_orderkey, o_orderkey + 3)) AS pos FROM orders WHERE o_orderkey % 5 = 0),
-s AS (SELECT o_orderkey AS pos, o_totalprice AS score FROM orders WHERE o_orderkey % 11 <> 0)
+WITH p AS (SELECT o_orderkey, unnest(range(o_orderkey, o_orderkey + 3)) AS pos FROM orders),
+s AS (SELECT o_orderkey AS pos, o_totalprice AS score FROM orders WHERE o_totalprice > 50000)
 SELECT o_orderkey, CASE WHEN count(score) = count(*) THEN round(avg(score), 6) END AS score FROM p LEFT JOIN s USING (pos) GROUP BY 1""")
 def complete_means(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    rows = orders.where("o_orderkey % 5 = 0").select("o_orderkey", F.sequence("o_orderkey", F.col("o_orderkey") + 2).alias("positions"))
-    scores = orders.where("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("pos"), F.col("o_totalprice").alias("score"))
+    rows = orders.select("o_orderkey", F.sequence("o_orderkey", F.col("o_orderkey") + 2).alias("positions"))
+    scores = orders.where("o_totalprice > 50000").select(F.col("o_orderkey").alias("pos"), F.col("o_totalprice").alias("score"))
     return aggregate.mean_if_complete(rows, ["o_orderkey"], "positions", scores, [], "pos", "score").withColumn("score", F.round("score", 6))
 
 
 @query("transition_ratio", """
-WITH n AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS a, count(*) FILTER (event_type = 'purchase') AS b FROM events WHERE event_id % 30 = 0 GROUP BY 1)
+WITH n AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS a, count(*) FILTER (event_type = 'purchase') AS b FROM events GROUP BY 1)
 SELECT user_id, a::BIGINT AS a, b::BIGINT AS b, CASE WHEN b <> 0 THEN round(a::DOUBLE / b, 6) WHEN a = 0 THEN 'nan'::DOUBLE ELSE 'inf'::DOUBLE END AS ratio FROM n""")
 def transition_ratio(spark, sf_dir):
-    n = table(spark, sf_dir, "events").where("event_id % 30 = 0").groupBy("user_id").agg(F.count_if(F.col("event_type") == "view").alias("a"), F.count_if(F.col("event_type") == "purchase").alias("b"))
+    n = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "view").alias("a"), F.count_if(F.col("event_type") == "purchase").alias("b"))
     return n.withColumn("ratio", F.round(aggregate.ratio_with_limits(F.col("a"), F.col("b")), 6))
 
 

@@ -21,8 +21,8 @@ def day(column):
     return F.datediff(column, F.lit("1970-01-01").cast("date")).cast("long")
 
 
-def _spans(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("g"), F.col("o_orderkey").alias("item"), day("o_orderdate").alias("s"))
+def _spans(spark, sf_dir, *more):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("g"), F.col("o_orderkey").alias("item"), day("o_orderdate").alias("s"), *more)
     return rows.withColumn("e", F.col("s") + SPAN)
 
 
@@ -95,15 +95,16 @@ def feature_coverage(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("breadth", "mean_depth")})
 
 
-@query("interval_subtract", f"""WITH {_SPANS}, cut AS (SELECT g, s + 30 AS s, s + 40 AS e FROM spans WHERE item % 3 = 0),
-days AS (SELECT DISTINCT b.g, b.item, b.s, b.e, unnest(range(b.s, b.e)) AS day FROM spans b WHERE b.item % 3 = 1),
+@query("interval_subtract", f"""WITH {_SPANS}, ranked AS (SELECT spans.*, o_orderstatus AS status FROM spans JOIN orders ON o_orderkey = item),
+cut AS (SELECT g, s + 30 AS s, s + 40 AS e FROM ranked WHERE status = 'F'),
+days AS (SELECT DISTINCT b.g, b.item, b.s, b.e, unnest(range(b.s, b.e)) AS day FROM ranked b WHERE b.status <> 'F'),
 kept AS (SELECT * FROM days d WHERE NOT EXISTS (SELECT 1 FROM cut c WHERE c.g = d.g AND d.day >= c.s AND d.day < c.e)),
 r AS (SELECT g, item, day, day - row_number() OVER (PARTITION BY g, item ORDER BY day) AS island FROM kept)
 SELECT g, item, min(day) AS s, max(day) + 1 AS e FROM r GROUP BY g, item, island""")
 def interval_subtract(spark, sf_dir):
-    spans = _spans(spark, sf_dir)
-    cut = spans.where("item % 3 = 0").select("g", (F.col("s") + 30).alias("s"), (F.col("s") + 40).alias("e"))
-    return intervals.subtract(spans.where("item % 3 = 1"), cut, ["g"], "s", "e").select("g", "item", "s", "e")
+    spans = _spans(spark, sf_dir, "o_orderstatus")
+    cut = spans.where("o_orderstatus = 'F'").select("g", (F.col("s") + 30).alias("s"), (F.col("s") + 40).alias("e"))
+    return intervals.subtract(spans.where("o_orderstatus <> 'F'"), cut, ["g"], "s", "e").select("g", "item", "s", "e")
 
 
 @query("priority_partition", f"""WITH {_SPANS}, l AS (SELECT spans.g, s, e, o_orderpriority AS label, substr(o_orderpriority, 1, 1)::INT AS rank FROM spans JOIN orders ON o_orderkey = item),
@@ -139,22 +140,22 @@ def asof_context(spark, sf_dir):
     return out.select("event_id", "last_buy")
 
 
-@query("range_overlap_join", f"""WITH {_SPANS}, a AS (SELECT * FROM spans WHERE item % 40 = 0), b AS (SELECT * FROM spans WHERE item % 40 = 1)
-SELECT a.item AS item_a, b.item AS item_b FROM a JOIN b ON a.s <= b.s + 3 AND b.s <= a.s + 3""")
+@query("range_overlap_join", f"""WITH {_SPANS}
+SELECT a.g, a.item AS item_a, b.item AS item_b FROM spans a JOIN spans b ON a.g = b.g AND a.s <= b.e AND b.s <= a.e AND a.item < b.item""")
 def range_overlap_join(spark, sf_dir):
     spans = _spans(spark, sf_dir)
-    a = spans.where("item % 40 = 0").select(F.col("item").alias("item_a"), F.col("s").alias("sa"), (F.col("s") + 3).alias("ea"))
-    b = spans.where("item % 40 = 1").select(F.col("item").alias("item_b"), F.col("s").alias("sb"), (F.col("s") + 3).alias("eb"))
-    return intervals.range_join(a, b, ("sa", "ea"), ("sb", "eb"), 30).select("item_a", "item_b")
+    a = spans.select("g", F.col("item").alias("item_a"), F.col("s").alias("sa"), F.col("e").alias("ea"))
+    b = spans.select("g", F.col("item").alias("item_b"), F.col("s").alias("sb"), F.col("e").alias("eb"))
+    return intervals.range_join(a, b, ("sa", "ea"), ("sb", "eb"), SPAN, on=["g"]).where("item_a < item_b").select("g", "item_a", "item_b")
 
 
-@query("range_semi_join", f"""WITH {_SPANS}, a AS (SELECT * FROM spans WHERE item % 40 = 0), b AS (SELECT * FROM spans WHERE item % 200 = 1)
-SELECT a.item AS item_a FROM a WHERE EXISTS (SELECT 1 FROM b WHERE a.s <= b.s + 3 AND b.s <= a.s + 3)""")
+@query("range_semi_join", f"""WITH {_SPANS}, r AS (SELECT spans.*, o_orderstatus AS status FROM spans JOIN orders ON o_orderkey = item)
+SELECT a.item AS item_a FROM r a WHERE status <> 'O' AND EXISTS (SELECT 1 FROM r b WHERE b.status = 'O' AND a.g = b.g AND a.s <= b.e AND b.s <= a.e)""")
 def range_semi_join(spark, sf_dir):
-    spans = _spans(spark, sf_dir)
-    a = spans.where("item % 40 = 0").select(F.col("item").alias("item_a"), F.col("s").alias("sa"), (F.col("s") + 3).alias("ea"))
-    b = spans.where("item % 200 = 1").select(F.col("s").alias("sb"), (F.col("s") + 3).alias("eb"))
-    return intervals.range_join(a, b, ("sa", "ea"), ("sb", "eb"), 30, how="left_semi").select("item_a")
+    spans = _spans(spark, sf_dir, "o_orderstatus")
+    a = spans.where("o_orderstatus <> 'O'").select("g", F.col("item").alias("item_a"), F.col("s").alias("sa"), F.col("e").alias("ea"))
+    b = spans.where("o_orderstatus = 'O'").select("g", F.col("s").alias("sb"), F.col("e").alias("eb"))
+    return intervals.range_join(a, b, ("sa", "ea"), ("sb", "eb"), SPAN, on=["g"], how="left_semi").select("item_a")
 
 
 @query("gap_clusters", """
@@ -174,9 +175,9 @@ def tile_assignment(spark, sf_dir):
 
 
 @query("tile_islands", """
-WITH t AS (SELECT DISTINCT o_custkey % 10 AS g, (o_orderkey // 20) * 20 AS tile FROM orders WHERE o_orderkey % 7 = 0),
+WITH t AS (SELECT DISTINCT o_custkey % 10 AS g, (o_orderkey // 20) * 20 AS tile FROM orders),
 r AS (SELECT *, tile // 20 - row_number() OVER (PARTITION BY g ORDER BY tile) AS island FROM t)
 SELECT g, min(tile) AS first, max(tile) AS last, count(*)::BIGINT AS tiles FROM r GROUP BY g, island""")
 def tile_islands(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select((F.col("o_custkey") % 10).alias("g"), F.expr("o_orderkey div 20 * 20").alias("tile"))
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).alias("g"), F.expr("o_orderkey div 20 * 20").alias("tile"))
     return intervals.tile_islands(rows, ["g"], "tile", 20)

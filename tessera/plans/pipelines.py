@@ -230,13 +230,13 @@ def support_edges_query(spark, sf_dir):
 
 
 @query("labelled_universe", """
-WITH r AS (SELECT l_partkey, CASE l_returnflag WHEN 'A' THEN 'benign' WHEN 'R' THEN 'pathogenic' END AS label, l_linestatus FROM lineitem WHERE l_suppkey % 9 = 0),
-s AS (SELECT l_partkey, list_sort(list(DISTINCT label)) AS labels, string_agg(DISTINCT l_linestatus, '|' ORDER BY l_linestatus) AS l_linestatus, count(*) AS records FROM r WHERE label IS NOT NULL GROUP BY 1)
-SELECT l_partkey, l_linestatus, records::BIGINT AS records, labels[1] AS label_class FROM s WHERE len(labels) = 1""")
+WITH r AS (SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'benign' WHEN 'R' THEN 'pathogenic' END AS label, l_linestatus FROM lineitem),
+s AS (SELECT l_orderkey, list_sort(list(DISTINCT label)) AS labels, string_agg(DISTINCT l_linestatus, '|' ORDER BY l_linestatus) AS l_linestatus, count(*) AS records FROM r WHERE label IS NOT NULL GROUP BY 1)
+SELECT l_orderkey, l_linestatus, records::BIGINT AS records, labels[1] AS label_class FROM s WHERE len(labels) = 1""")
 def labelled_universe_query(spark, sf_dir):
     text = F.when(F.col("l_returnflag") == "A", "Likely benign").when(F.col("l_returnflag") == "R", "Pathogenic").otherwise("Uncertain significance")
-    rows = table(spark, sf_dir, "lineitem").where("l_suppkey % 9 = 0").select("l_partkey", text.alias("significance"), "l_linestatus")
-    return labelled_universe(rows, ["l_partkey"], "significance", ["l_linestatus"])[0]
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", text.alias("significance"), "l_linestatus")
+    return labelled_universe(rows, ["l_orderkey"], "significance", ["l_linestatus"])[0]
 
 
 @query("cohort_comparison", """
@@ -249,14 +249,14 @@ def cohort_comparison_query(spark, sf_dir):
 
 
 @query("strategy_summary", """
-WITH m AS (SELECT l_partkey AS item, bit_or(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 4 END) AS mask, min(l_discount) AS f, min(l_linestatus) AS s, min(l_suppkey) % 3 AS k FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY 1)
+WITH m AS (SELECT l_orderkey AS item, bit_or(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 4 END) AS mask, min(l_discount) AS f, min(l_linestatus) AS s, min(l_suppkey) % 3 AS k FROM lineitem GROUP BY 1)
 SELECT member, count(*)::BIGINT AS items, count(*) FILTER (bit_count(mask) = 1)::BIGINT AS unique_items, count(*) FILTER (s = 'F')::BIGINT AS found,
   count(*) FILTER (k = 0)::BIGINT AS transitions, count(*) FILTER (k = 1)::BIGINT AS transversions, count(*) FILTER (f > 0)::BIGINT AS with_frequency, round(median(f), 6) AS median_frequency,
   round(quantile_cont(f, 0.05) FILTER (f > 0), 6) AS q05, round(quantile_cont(f, 0.95) FILTER (f > 0), 6) AS q95,
   CASE WHEN count(*) FILTER (k = 1) <> 0 THEN round((count(*) FILTER (k = 0))::DOUBLE / count(*) FILTER (k = 1), 6) WHEN count(*) FILTER (k = 0) = 0 THEN 'nan'::DOUBLE ELSE 'inf'::DOUBLE END AS ti_tv
 FROM m, (VALUES ('A', 1), ('N', 2), ('R', 4)) v(member, bit) WHERE mask & bit <> 0 GROUP BY 1""")
 def strategy_summary(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_suppkey % 5 = 0").groupBy(F.col("l_partkey").alias("item")).agg(
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("item")).agg(
         F.bit_or(masks.member_bit("l_returnflag", ("A", "N", "R"))).alias("mask"), F.min("l_discount").alias("f"),
         F.when(F.min("l_linestatus") == "F", "found").otherwise("not_found").alias("status"), (F.min("l_suppkey") % 3).alias("k"),
     )
@@ -269,7 +269,7 @@ def strategy_summary(spark, sf_dir):
 
 
 def _filter_input(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'N'")
+    lines = table(spark, sf_dir, "lineitem")
     support = lines.groupBy(F.col("l_partkey").alias("item"), F.col("l_returnflag").alias("strategy")).agg(
         F.countDistinct("l_suppkey").alias("ortholog"), F.countDistinct(F.col("l_suppkey") % 4).alias("family"), F.count("*").alias("aligned")
     )
@@ -279,7 +279,7 @@ def _filter_input(spark, sf_dir):
     return support, items
 
 
-_SUPPORT = """s AS (SELECT l_partkey AS item, l_returnflag AS strategy, count(DISTINCT l_suppkey) AS ortholog, count(DISTINCT l_suppkey % 4) AS family, count(*) AS aligned_min, count(*) AS aligned_max FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2),
+_SUPPORT = """s AS (SELECT l_partkey AS item, l_returnflag AS strategy, count(DISTINCT l_suppkey) AS ortholog, count(DISTINCT l_suppkey % 4) AS family, count(*) AS aligned_min, count(*) AS aligned_max FROM lineitem GROUP BY 1, 2),
 n AS (SELECT item, count(*) AS strategies FROM s GROUP BY 1), b AS (SELECT * FROM s JOIN n USING (item)),
 scores AS (SELECT item, strategy, ortholog, family, strategies, aligned_max, aligned_min FROM b UNION ALL SELECT item, 'union', max(ortholog), max(family), max(strategies), max(aligned_max), min(aligned_min) FROM b GROUP BY 1)"""
 

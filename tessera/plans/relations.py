@@ -76,10 +76,10 @@ def refresh_plan(spark, sf_dir):
 
 
 @query("append_new", """
-SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND event_id < 300) GROUP BY 1""")
+SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-02') GROUP BY 1""")
 def append_new(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    rows = dedupe.append_new(events.where("event_type = 'error' and event_id < 300"), events.select("event_id", "user_id"), ["user_id"])
+    rows = dedupe.append_new(events.where("event_type = 'error' and ts < timestamp'2024-01-02'"), events.select("event_id", "user_id"), ["user_id"])
     return rows.select("user_id", "event_id")
 
 
