@@ -1,6 +1,8 @@
 """Interval algebra on (group, start, end) rows, half-open unless said otherwise.
 
-All of it is windows and equi-joins on the group; joins without one go through tiles.
+All of it is windows and equi-joins. Joins by place go through tiles: both sides meet on group and tile, so the work of a
+group, however large, spreads over its tiles and grows with what overlaps. Tiles are about as wide as the spans are on average
+(``tile_width``, one small aggregation), unless the caller names a width.
 """
 
 from __future__ import annotations
@@ -11,6 +13,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Mean lengths in a stretch that merges in a task of its own.
+CHUNK = 64
+
+
+def tile_width(*sides: tuple[DataFrame, str, str]) -> int:
+    """The mean length of the sides' spans, at least 1."""
+    total = n = 0
+    for df, start, end in sides:
+        row = df.agg(F.sum(F.greatest(F.col(end) - F.col(start), F.lit(0))).alias("t"), F.count(start).alias("n")).first()
+        total, n = total + (row["t"] or 0), n + row["n"]
+    return max(1, int(total / max(1, n)))
+
+
 def _before(group: Sequence[str], *order: str):
     return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -25,12 +40,14 @@ def merge(
     """Gaps and islands: (group, start, end, members) of merged intervals.
 
     Half-open intervals that touch merge; ``gap`` bridges that much more. ``closed`` intervals
-    merge when adjacent (start <= end + 1). With ``chunk``, intervals that start in the same stretch of
-    that width merge first, each stretch in a task of its own; a group that holds a large part of all
+    merge when adjacent (start <= end + 1). Intervals that start in the same stretch of width
+    ``chunk`` (by default ``CHUNK`` mean lengths; 0: no stretches) merge first, each stretch in a task of its own; a group that holds a large part of all
     rows then reaches the last window as few islands.
     """
     slack = gap + (1 if closed else 0)
     rows = df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("members", F.lit(1).cast("long"))
+    if chunk is None:
+        chunk = CHUNK * tile_width((rows, start, end))
     if chunk:
         stretched = rows.withColumn("_chunk", F.floor(F.col(start) / chunk))
         rows = _islands(stretched, [*group, "_chunk"], start, end, slack).drop("_chunk")
@@ -79,32 +96,36 @@ def gaps(df: DataFrame, group: Sequence[str], start: str = "start", end: str = "
     return merged.select(*group, F.col(end).alias(start), after.alias(end)).where(F.col(end).isNotNull())
 
 
-def subtract(base: DataFrame, cut: DataFrame, group: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """What is left of each base interval without the cut ones; base columns stay."""
-    own = base.withColumn("_id", F.struct(*(F.col(c) for c in base.columns)))
+def subtract(base: DataFrame, cut: DataFrame, group: Sequence[str], start: str = "start", end: str = "end", width: int | None = None) -> DataFrame:
+    """What is left of each base interval without the cut ones; base columns stay, and so do repeated rows."""
+    own = list(base.columns)
+    rows = base.groupBy(*own).agg(F.count("*").alias("_copies"))
     holes = merge(cut, group, start, end).select(*group, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    hit = own.join(holes, list(group), "left").where(F.col("_s").isNull() | ((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start))))
-    missing = own.join(hit.select("_id").distinct(), "_id", "left_anti").withColumns({"_s": F.lit(None).cast("long"), "_e": F.lit(None).cast("long")})
-    rows = hit.unionByName(missing.select(*hit.columns))
-    by_id = Window.partitionBy("_id").orderBy("_s")
-    left = rows.withColumn("_from", F.greatest(F.col(start), F.coalesce(F.lag("_e").over(by_id), F.col(start))))
-    inner = left.withColumn("_to", F.least(F.col(end), F.coalesce("_s", end)))
-    tail = rows.groupBy("_id").agg(F.max("_e").alias("_from")).where(F.col("_from").isNotNull())
-    tail = tail.select("_id.*", "_from").withColumn("_to", F.col(end))
-    both = inner.select(*base.columns, "_from", "_to").unionByName(tail.select(*base.columns, "_from", "_to"))
-    return both.where("_from < _to").withColumns({start: F.col("_from"), end: F.col("_to")}).drop("_from", "_to").distinct()
+    width = width or tile_width((base, start, end), (cut, start, end))
+    met = range_join(rows, holes, (start, end), ("_s", "_e"), width, group).where((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start)))
+    met = met.select(*own, "_copies", "_s", "_e")
+    # an edge of nothing ends each interval, so that the last piece needs no second look
+    tail = rows.select(*own, "_copies", F.col(end).alias("_s"), F.col(end).alias("_e"))
+    by_row = Window.partitionBy(*own).orderBy("_s", "_e")
+    left = met.unionByName(tail).withColumns({
+        "_from": F.greatest(F.col(start), F.coalesce(F.lag("_e").over(by_row), F.col(start))), "_to": F.least(F.col(end), F.col("_s")),
+    }).where("_from < _to").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
+    return left.withColumns({start: F.col("_from"), end: F.col("_to")}).select(*own)
 
 
 def contained(
-    points: DataFrame, intervals: DataFrame, group: Sequence[str], pos: str, start: str = "start", end: str = "end", how: str = "left", closed: bool = False
-) -> DataFrame:
+    points: DataFrame, intervals: DataFrame, group: Sequence[str], pos: str, start: str = "start", end: str = "end", how: str = "left", closed: bool = False,
+    width: int | None = None,
+) -> DataFrame:
     """Joins points with the intervals of their group that hold them; with disjoint intervals at most one."""
+    width = width or tile_width((intervals, start, end))
     other = intervals.select(*(F.col(c).alias(f"_g_{c}") if c in group else F.col(c) for c in intervals.columns))
-    inside = (F.col(pos) >= F.col(start)) & (F.col(pos) <= F.col(end) if closed else F.col(pos) < F.col(end))
-    on = inside
+    other = other.where(F.col(start) <= F.col(end)).withColumn("_g_tile", F.explode(tiles(F.col(start), F.col(end), width)))
+    on = (F.col(pos) >= F.col(start)) & (F.col(pos) <= F.col(end) if closed else F.col(pos) < F.col(end)) & (F.col("_tile") == F.col("_g_tile"))
     for g in group:
         on = on & (F.col(g) == F.col(f"_g_{g}"))
-    return points.join(other, on, how).drop(*(f"_g_{g}" for g in group))
+    found = points.withColumn("_tile", F.floor(F.col(pos) / width)).join(other, on, how)
+    return found.drop("_tile", "_g_tile", *(f"_g_{g}" for g in group))
 
 
 def asof(left: DataFrame, right: DataFrame, group: Sequence[str], at: str, values: Sequence[str], until: str | None = None, default: str | None = None) -> DataFrame:
@@ -139,20 +160,20 @@ def range_join(
     """Overlap join of closed spans without a nested loop.
 
     Both sides go into tiles of ``width``, meet by equi-join on tile (and ``on``), and a pair
-    comes out only in the tile that holds the later start. ``how`` is inner, left_semi or left_anti.
-    Column names other than ``on`` must differ.
+    comes out only in the tile that holds the later start. ``how`` is inner, left_semi or left_anti, by the distinct spans of the left side;
+    spans that end before they start meet nothing. Column names other than ``on`` must differ.
     """
     (ls, le), (rs, re) = left_span, right_span
-    tagged = left.withColumn("_row", F.struct(*left.columns)) if how != "inner" else left
-    a = tagged.withColumn("_tile", F.explode(tiles(F.col(ls), F.col(le), width)))
-    b = right.withColumn("_tile", F.explode(tiles(F.col(rs), F.col(re), width)))
+    if how != "inner":
+        spans = left.select(*on, ls, le).distinct()
+        hit = range_join(spans, right.select(*on, rs, re), left_span, right_span, width, on).select(*on, ls, le).distinct()
+        return left.join(hit, [*on, ls, le], how).select(*left.columns)
+    a = left.where(F.col(ls) <= F.col(le)).withColumn("_tile", F.explode(tiles(F.col(ls), F.col(le), width)))
+    b = right.where(F.col(rs) <= F.col(re)).withColumn("_tile", F.explode(tiles(F.col(rs), F.col(re), width)))
     met = a.join(b, ["_tile", *on]).where(
         (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) & (F.floor(F.greatest(ls, rs) / width) == F.col("_tile"))
     )
-    if how == "inner":
-        return met.drop("_tile")
-    hit = met.select("_row").distinct()
-    return tagged.join(hit, "_row", how).select("_row.*")
+    return met.drop("_tile")
 
 
 def exists_in(points: DataFrame, spans: DataFrame, group: str, pos: str, start: str = "start", end: str = "end", flag: str = "hit") -> DataFrame:
@@ -168,7 +189,9 @@ def exists_in(points: DataFrame, spans: DataFrame, group: str, pos: str, start:
 def coverage(features: DataFrame, segments: DataFrame, group: Sequence[str], item: str, feature_id: str, start: str = "start", end: str = "end") -> DataFrame:
     """Per feature: covered length, depth length, breadth, mean depth, distinct items covering it."""
     own = merge(segments, [*group, item], start, end).select(*group, item, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    hit = features.join(own, list(group)).where((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start)))
+    spans = features.select(*group, feature_id, start, end)
+    width = tile_width((spans, start, end), (own, "_s", "_e"))
+    hit = range_join(spans, own, (start, end), ("_s", "_e"), width, group).where((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start)))
     clipped = hit.withColumns({"_s": F.greatest("_s", start), "_e": F.least("_e", end)})
     key = [*group, feature_id]
     lengths = clipped.groupBy(*key).agg(F.sum(F.col("_e") - F.col("_s")).alias("depth_length"), F.countDistinct(item).alias("items_covering"))
@@ -198,8 +221,10 @@ def priority_partition(df: DataFrame, group: Sequence[str], label: str, priority
     value, equal neighbours joined again."""
     at = df.select(*group, F.explode(F.array(start, end)).alias("_s")).distinct()
     pieces = at.withColumn("_e", F.lead("_s").over(Window.partitionBy(*group).orderBy("_s"))).where(F.col("_e").isNotNull())
-    own = df.select(*group, start, end, label, priority)
-    met = pieces.join(own, list(group)).where((F.col(start) <= F.col("_s")) & (F.col(end) >= F.col("_e")))
+    # of one label overlapping intervals merge first, so a piece meets each label once at most
+    own = merge(df, [*group, label, priority], start, end).drop("members")
+    width = tile_width((own, start, end))
+    met = range_join(pieces, own, ("_s", "_e"), (start, end), width, group).where((F.col(start) <= F.col("_s")) & (F.col(end) >= F.col("_e")))
     best = met.groupBy(*group, "_s", "_e").agg(F.min(F.struct(priority, label)).alias("_b")).select(*group, "_s", "_e", F.col(f"_b.{label}").alias(label))
     along = Window.partitionBy(*group).orderBy("_s")
     new = (F.lag(label).over(along) != F.col(label)) | (F.lag("_e").over(along) != F.col("_s"))
