@@ -262,3 +262,31 @@ def conditions(names: Column | str, ids: Column | str) -> Column:
 
 def _prefixed(prefix: str):
     return lambda i: i.startswith(prefix)
+
+
+# ---------------------------------------------------------------- numbers and times as text
+
+
+def fixed_text(value: Column | str, digits: int = 6) -> Column:
+    """A number with ``digits`` decimals, as ``%.6f``; null stays null. A number halfway, in its shortest decimal form, is rounded away from 0."""
+    v = _c(value).cast("double")
+    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v))
+
+
+def general_text(value: Column | str, digits: int = 6) -> Column:
+    """A number with ``digits`` significant digits, as ``%.6g`` of C: no trailing zeros, an exponent below 1e-4 and from 1e6 on."""
+    v = _c(value).cast("double")
+    scientific = F.format_string(f"%.{digits - 1}e", v)
+    exponent = F.substring_index(scientific, "e", -1).cast("int")
+    decimals = F.greatest(F.lit(digits - 1) - exponent, F.lit(0))
+    plain = F.call_function("format_string", F.concat(F.lit("%."), decimals.cast("string"), F.lit("f")), v)
+    bare = F.regexp_replace(plain, r"(\.[0-9]*?)0+$", "$1")
+    short = F.concat(F.regexp_replace(F.regexp_replace(F.substring_index(scientific, "e", 1), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""), F.lit("e"), F.substring_index(scientific, "e", -1))
+    return F.when(v.isNotNull(), F.when(v == 0, "0").when(exponent.between(-4, digits - 1), F.regexp_replace(bare, r"\.$", "")).otherwise(short))
+
+
+def utc_micros(text: Column | str) -> Column:
+    """Microseconds of an ISO 8601 time in UTC (``Z`` or ``+00:00``); null for any other text."""
+    t = _c(text)
+    shape = t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?(?:Z|\+00:00)$")
+    return F.when(shape, F.unix_micros(F.try_to_timestamp(t)))

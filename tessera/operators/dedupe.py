@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.contracts import Check
+from tessera.functions.labels import set_items
+from tessera.operators.contracts import Check, holds
 from tessera.storage import scratch
 
 
@@ -117,3 +118,17 @@ def refresh_plan(needed: DataFrame, present: DataFrame, forced: DataFrame, key:
     """Keys to fetch: needed ones that are not present, counting forced ones as not present."""
     usable = present.select(*key).join(forced.select(*key), list(key), "left_anti")
     return needed.select(*key).distinct().join(usable, list(key), "left_anti")
+
+
+def distinct_requests(rows: DataFrame, key: str, listed: str, valid: Column, out: str, separator: str = "|") -> DataFrame:
+    """Distinct (key, ``out``) of the items in separated text; a row whose key is not ``valid`` is an error."""
+    holds("requests have a valid key", rows, valid).run()
+    return rows.select(key, F.explode(set_items(listed, separator)).alias(out)).distinct()
+
+
+def alias_lookup(requests: DataFrame, records: DataFrame, on: str, aliases: str, value: str, *order: str) -> DataFrame:
+    """``requests`` (with column ``on``) and the value of the record that has it among its ``aliases``; of several the
+    last by ``order`` counts, of equal ones the largest value."""
+    each = records.select(F.explode(aliases).alias(on), value, *order).where(F.col(on).isNotNull())
+    best = each.groupBy(on).agg(F.max(F.struct(*order, value)).getField(value).alias(value))
+    return requests.join(best, on, "left")

@@ -1,3 +1,3 @@
 """Queries over the driver tables, built from the operators."""
 
-from tessera.plans import association, curves, lines, membership, pipelines, relations  # noqa: F401
+from tessera.plans import association, curves, ladders, lines, membership, pipelines, records, relations  # noqa: F401

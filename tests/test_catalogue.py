@@ -12,7 +12,7 @@ from tessera.plans import registry
 SF = "/root/testdata/sf0.001"
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 #: Queries that join with a small dimension or a one-row total on purpose.
-SMALL_SIDES = {"small_dimension_cross", "zero_filled_grid", "mask_status_grid", "status_counts", "filter_associations"}
+SMALL_SIDES = {"small_dimension_cross", "zero_filled_grid", "mask_status_grid", "status_counts", "filter_associations", "condition_report"}
 
 
 @pytest.fixture(scope="module")
