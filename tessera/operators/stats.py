@@ -180,7 +180,8 @@ def profile_interval(x: np.ndarray, y: np.ndarray, term: int, level: float = 3.8
 
 
 def firth_by_group(df: DataFrame, group: Sequence[str], label: str, observed: str, score: str, spline_df: int = 3) -> DataFrame:
-    """(group, rows, odds_ratio, ci_low, ci_high, status) of label ~ observed + spline(score), one task per group.
+    """(group, rows, odds_ratio, ci_low, ci_high, status) of label ~ observed + spline(score), one task per group;
+    with ``spline_df`` 0 of label ~ observed.
 
     A group is one model, so its rows must fit into one task.
     """
@@ -192,11 +193,11 @@ def firth_by_group(df: DataFrame, group: Sequence[str], label: str, observed: st
         y, o, s = (pdf[c].to_numpy(float) for c in (label, observed, score))
         status = (
             "no rows" if not len(pdf) else "one label" if len(set(y)) < 2 else "one observation state" if len(set(o)) < 2
-            else "too few scores" if len(set(s)) < spline_df + 1 else ""
+            else "too few scores" if spline_df and len(set(s)) < spline_df + 1 else ""
         )
         if status:
             return pd.DataFrame([[*key, len(pdf), None, None, None, status]])
-        design = np.column_stack([np.ones(len(y)), o, spline_basis(s, spline_df)])
+        design = np.column_stack([np.ones(len(y)), o, *([spline_basis(s, spline_df)] if spline_df else [])])
         estimate, low, high, status = profile_interval(design, y, 1)
         return pd.DataFrame([[*key, len(pdf), math.exp(estimate), math.exp(low), math.exp(high), status]])
 

@@ -118,3 +118,23 @@ def paired_bootstrap(spark, sf_dir):
 def firth_logistic(spark, sf_dir):
     rows = _rows(spark, sf_dir).withColumn("score", F.log("n_chars"))
     return stats.firth_by_group(rows, ["lang"], "quality", "toxic", "score")
+
+
+@query("firth_saturated", """
+WITH r AS (SELECT lang, quality, toxic FROM documents JOIN labels USING (doc_id) WHERE lang IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL),
+c AS (SELECT lang, count(*)::BIGINT AS rows, count(*) FILTER (quality = 1 AND toxic = 1) + 0.5::DOUBLE AS a, count(*) FILTER (quality = 0 AND toxic = 1) + 0.5::DOUBLE AS b,
+  count(*) FILTER (quality = 1 AND toxic = 0) + 0.5::DOUBLE AS c, count(*) FILTER (quality = 0 AND toxic = 0) + 0.5::DOUBLE AS d FROM r GROUP BY 1 HAVING count(DISTINCT quality) = 2 AND count(DISTINCT toxic) = 2)
+SELECT lang, rows, round(a * d / (b * c), 4) AS odds_ratio FROM c""")
+def firth_saturated(spark, sf_dir):
+    """With one binary term the penalised estimate is that of the table with half a row added to each cell."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id").where("lang is not null").withColumn("score", F.lit(0.0))
+    out = stats.firth_by_group(rows, ["lang"], "quality", "toxic", "score", spline_df=0)
+    return out.where("odds_ratio is not null").select("lang", "rows", F.round("odds_ratio", 4).alias("odds_ratio"))
+
+
+@query("bootstrap_observed", f"""WITH {_MATCHED}, p AS (SELECT g, focal, max(score) FILTER (role = 'observed') AS own, count(*) FILTER (role = 'control') AS controls FROM m GROUP BY 1, 2)
+SELECT g, count(*)::BIGINT AS matched_focals, round(median(own), 6) AS observed_median, 1000::BIGINT AS valid_resamples FROM p WHERE own IS NOT NULL AND controls > 0 GROUP BY 1""")
+def bootstrap_observed(spark, sf_dir):
+    """What does not depend on draws."""
+    out = stats.paired_bootstrap(_matched(spark, sf_dir), ["g"], "focal", "role", "score")
+    return out.select("g", "matched_focals", F.round("observed_median", 6).alias("observed_median"), "valid_resamples")
