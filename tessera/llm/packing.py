@@ -38,7 +38,7 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # ---------------------------------------------------------------- tokenising
 
 #: Cached chunks of a worker; the cache starts anew beyond this. Texts that are encoded together.
-CACHE_WORDS, GROUP = 250_000, 16
+CACHE_WORDS, GROUP = 600_000, 16
 #: Code points below this are composed, so NFC leaves a text of them as it is.
 SIMPLE_BELOW = 0x250
 _TOKENISERS: dict[str, WordTokeniser] = {}  # one per worker and file
@@ -61,7 +61,7 @@ class WordTokeniser:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)", re.I).search
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = _ranges(lambda cat, _: cat[0] == "L")
         numbers = _ranges(lambda cat, _: cat[0] == "N")
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{letters}{numbers}]+")
@@ -93,7 +93,7 @@ class WordTokeniser:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers. What the texts lack in the cache is
         learned together."""
-        split = [t.lower().split() if self.simple(t) and not self.special(t) else None for t in texts]
+        split = [None if not self.simple(t) or any(x in low for x in self.added) else low.split() for t, low in zip(texts, map(str.lower, texts))]
         known = self.chunks
         unseen = {c for s in split if s for c in s}.difference(known)
         if len(known) + len(unseen) > CACHE_WORDS and known:
