@@ -37,8 +37,9 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # ---------------------------------------------------------------- tokenising
 
-#: Cached chunks of a worker; the cache starts anew beyond this. Texts that are encoded together.
-CACHE_WORDS, GROUP = 600_000, 16
+#: Cached chunks of a worker, those that it meets first, which are the frequent ones; others are learned anew each time. Texts that are
+#: encoded together.
+CACHE_WORDS, GROUP = 400_000, 16
 #: Code points below this are composed, so NFC leaves a text of them as it is.
 SIMPLE_BELOW = 0x250
 _TOKENISERS: dict[str, WordTokeniser] = {}  # one per worker and file
@@ -83,23 +84,24 @@ class WordTokeniser:
                 out[w] = ids[a:b].tobytes()
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Words never cross white space, so what stands between two spaces has ids of its own."""
+    def _learned(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks. Words never cross white space, so what stands between two spaces has ids of its own."""
         parts = [self.words.findall(x) for x in chunks]
         get = self._words(sorted({w for p in parts for w in p})).__getitem__
-        for x, p in zip(chunks, parts):
-            self.chunks[x] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+        return {x: get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for x, p in zip(chunks, parts)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers. What the texts lack in the cache is
         learned together."""
         split = [None if not self.simple(t) or any(x in low for x in self.added) else low.split() for t, low in zip(texts, map(str.lower, texts))]
         known = self.chunks
-        unseen = {c for s in split if s for c in s}.difference(known)
-        if len(known) + len(unseen) > CACHE_WORDS and known:
-            known.clear()
-            unseen = {c for s in split if s for c in s}
-        self._learn(sorted(unseen))
+        wanted = {c for s in split if s for c in s}
+        unseen = wanted.difference(known)
+        if len(known) + len(unseen) <= CACHE_WORDS:
+            known.update(self._learned(sorted(unseen)))
+        else:  # the cache is full, so these are learned for this time only
+            own = self._learned(sorted(unseen))
+            known = own | {c: known[c] for c in wanted if c not in own}
         plain = self.tokenizer.encode
         return [
             b"".join(map(known.__getitem__, s)) if s is not None
