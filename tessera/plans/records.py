@@ -244,12 +244,12 @@ def span_windows(spark, sf_dir):
 
 @query("support_summary", """
 SELECT l_partkey, l_returnflag, round(avg(l_quantity), 6) AS mean, min(l_quantity) AS least, max(l_quantity) AS most, count(DISTINCT l_suppkey)::BIGINT AS observers, median(l_extendedprice) AS median_price,
-  round(sum(l_discount * l_quantity) / sum(l_quantity), 9) AS weighted FROM lineitem GROUP BY 1, 2""")
+  round(sum(l_discount * l_extendedprice) / sum(l_extendedprice), 9) AS weighted FROM lineitem GROUP BY 1, 2""")
 def support_summary(spark, sf_dir):
     q = F.col("l_quantity")
     return table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_returnflag").agg(
         F.round(F.avg(q), 6).alias("mean"), F.min(q).alias("least"), F.max(q).alias("most"), F.countDistinct("l_suppkey").alias("observers"),
-        F.percentile("l_extendedprice", 0.5).alias("median_price"), F.round(F.sum(F.col("l_discount") * q) / F.sum(q), 9).alias("weighted"),
+        F.percentile("l_extendedprice", 0.5).alias("median_price"), F.round(F.sum(F.col("l_discount") * F.col("l_extendedprice")) / F.sum("l_extendedprice"), 9).alias("weighted"),
     )
 
 
