@@ -166,6 +166,25 @@ def _alleles(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (n % 97 + 1).alias("pos"), pick(_REFS, n).alias("ref"), pick(_ALTS, F.col("o_custkey") + n).alias("alt"))
 
 
+@query("condition_background", f"""WITH {_CONDITIONS}, {_ALLELES},
+r AS (SELECT o_orderkey, orders.o_orderstatus AS axis, pos, ref, alt, CASE left(o_orderpriority, 1) WHEN '4' THEN 'benign' ELSE 'pathogenic' END AS label, CASE WHEN len(ref) = 1 AND len(alt) = 1 THEN 'snv' ELSE 'indel' END AS kind
+  FROM orders JOIN a USING (o_orderkey) WHERE alt <> 'N' AND (len(ref) <> len(alt) OR len(ref) = 1) AND o_orderpriority < '5'),
+pure AS (SELECT axis, pos, ref, alt, any_value(kind) AS kind FROM r GROUP BY 1, 2, 3, 4 HAVING min(label) = 'pathogenic'),
+c AS (SELECT axis, pos, ref, alt, r.kind, key, min(name) AS name FROM pure JOIN r USING (axis, pos, ref, alt) JOIN conditions USING (o_orderkey) GROUP BY 1, 2, 3, 4, 5, 6),
+n AS (SELECT key, min(name) AS name FROM c GROUP BY 1), i AS (SELECT kind, key, count(*)::BIGINT AS items FROM c GROUP BY 1, 2),
+t AS (SELECT kind, count(*)::BIGINT AS total_items FROM pure GROUP BY 1), d AS (SELECT kind, count(DISTINCT (axis, pos, ref, alt))::BIGINT AS named_items FROM c GROUP BY 1)
+SELECT t.kind, coalesce(key, '') AS condition, coalesce(n.name, '') AS name, coalesce(items, 0)::BIGINT AS items, total_items, coalesce(named_items, 0)::BIGINT AS named_items
+FROM t LEFT JOIN d USING (kind) LEFT JOIN i USING (kind) LEFT JOIN n USING (key)""")
+def condition_background_query(spark, sf_dir):
+    from tessera.plans.pipelines import condition_background
+
+    first = F.left("o_orderpriority", F.lit(1))
+    text = F.when(first == "4", "Likely benign").when(first == "5", "Uncertain significance").otherwise("Pathogenic")
+    alleles = _alleles(spark, sf_dir).drop("o_custkey").join(table(spark, sf_dir, "orders").select("o_orderkey", text.alias("significance")), "o_orderkey")
+    records = alleles.join(_condition_rows(spark, sf_dir).withColumnRenamed("o_orderstatus", "axis"), "o_orderkey")
+    return condition_background(records, ["axis", "pos"], "ref", "alt", "significance", "names", "ids")
+
+
 @query("allele_positions", f"""WITH {_ALLELES},
 l AS (SELECT *, (SELECT count(*) FROM range(1, 9) t(i) WHERE i <= least(len(ref), len(alt)) AND ref[1:i] = alt[1:i])::INT AS lead FROM a),
 r AS (SELECT *, ref[lead + 1:] AS r1, alt[lead + 1:] AS a1 FROM l),

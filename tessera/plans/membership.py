@@ -77,14 +77,14 @@ def mask_status_grid(spark, sf_dir):
 
 @query("mask_aware_anti", """
 WITH f AS (SELECT o_custkey, bit_or(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 4 END)::BIGINT AS mask
-           FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+           FROM orders WHERE o_orderpriority < '3' GROUP BY 1),
 o AS (SELECT o_custkey, bit_or(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 4 END)::BIGINT AS mask
-           FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1)
+           FROM orders WHERE o_orderpriority >= '3' GROUP BY 1)
 SELECT f.o_custkey, f.mask FROM f LEFT JOIN o USING (o_custkey) WHERE o.mask IS NULL OR (o.mask & f.mask) <> f.mask""")
 def mask_aware_anti(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    part = lambda r: masks.membership_mask(orders.where(F.col("o_orderkey") % 2 == r), "o_custkey", "o_orderstatus", ("F", "O", "P"))
-    return masks.not_covered(part(0), part(1), ["o_custkey"], "mask", "mask")
+    part = lambda urgent: masks.membership_mask(orders.where((F.col("o_orderpriority") < "3") == F.lit(urgent)), "o_custkey", "o_orderstatus", ("F", "O", "P"))
+    return masks.not_covered(part(True), part(False), ["o_custkey"], "mask", "mask")
 
 
 @query("evidence_reconcile", """

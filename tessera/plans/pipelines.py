@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import keys, labels
@@ -205,6 +205,30 @@ def condition_distribution(items: DataFrame, key: Sequence[str], names: str, ids
     return by.crossJoin(F.broadcast(total))  # one row
 
 
+def condition_background(records: DataFrame, key: Sequence[str], ref: str, alt: str, significance: str, names: str, ids: str) -> DataFrame:
+    """(kind, condition, name, items, total_items, named_items) of purely pathogenic single-base changes and indels.
+
+    An item is a ``key`` with its upper-cased alleles; one that is also reported benign counts for nothing. A kind
+    without conditions has one row of empty texts.
+    """
+    cls = labels.significance_class(significance)
+    label = F.when(cls == "B/LB", "benign").when(cls == "P/LP", "pathogenic")
+    rows = records.withColumns({ref: F.upper(ref), alt: F.upper(alt)}).withColumn("kind", keys.change_type(ref, alt)).where(label.isNotNull() & F.col("kind").isin("snv", "indel"))
+    item = [*key, ref, alt]
+    each = rows.select(*item, "kind", label.alias("_label"), F.explode_outer(labels.conditions(names, ids)).alias("c"))
+    each = each.groupBy(*item, "kind", F.col("c.key").alias("condition")).agg(F.min("c.name").alias("name"), F.min("_label").alias("_label"))
+    own = Window.partitionBy(*item)  # an item has few conditions
+    each = each.withColumns({
+        "_label": F.min("_label").over(own), "_named": F.max(F.col("condition").isNotNull()).over(own), "_nth": F.row_number().over(own.orderBy("condition")),
+    }).where("_label = 'pathogenic'")
+    totals = each.where("_nth = 1").groupBy("kind").agg(F.count("*").alias("total_items"), F.count_if("_named").alias("named_items"))
+    by = each.where("condition is not null").groupBy("kind", "condition").agg(F.min("name").alias("name"), F.count("*").alias("items"))
+    by = by.withColumn("name", F.min("name").over(Window.partitionBy("condition")))
+    out = F.broadcast(totals).join(by, "kind", "left")  # two rows
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("condition", "name")]
+    return out.select("kind", *texts, F.coalesce("items", F.lit(0)).cast("long").alias("items"), "total_items", "named_items")
+
+
 def cohort_comparison(cohorts: dict[str, DataFrame], key: str, kind: str, condition: str) -> DataFrame:
     """(condition, kind, <cohort> counts): items per condition for all kinds and each; the first cohort must lie in the others."""
     names = list(cohorts)
@@ -240,11 +264,11 @@ def labelled_universe_query(spark, sf_dir):
 
 
 @query("cohort_comparison", """
-WITH k AS (SELECT o_orderkey, o_orderpriority AS condition, unnest(['all', o_orderstatus]) AS kind, o_orderkey % 2 = 0 AS t, o_orderkey % 4 = 0 AS o FROM orders)
+WITH k AS (SELECT o_orderkey, o_orderpriority AS condition, unnest(['all', o_orderstatus]) AS kind, o_totalprice > 100000 AS t, o_totalprice > 200000 AS o FROM orders)
 SELECT condition, kind, count(*) FILTER (o)::BIGINT AS observed, count(*) FILTER (t)::BIGINT AS target, count(*)::BIGINT AS everything FROM k GROUP BY 1, 2""")
 def cohort_comparison_query(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("condition"), F.col("o_orderstatus").alias("kind"))
-    cohorts = {"observed": rows.where("o_orderkey % 4 = 0"), "target": rows.where("o_orderkey % 2 = 0"), "everything": rows}
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("condition"), F.col("o_orderstatus").alias("kind"))
+    cohorts = {"observed": rows.where("o_totalprice > 200000"), "target": rows.where("o_totalprice > 100000"), "everything": rows}
     return cohort_comparison(cohorts, "o_orderkey", "kind", "condition")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import labels
@@ -313,3 +314,76 @@ def reference_checks(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c"), (F.col("o_orderkey") % 20).alias("at"), F.lower("o_orderstatus").alias("ref"))
     sequences = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"), F.col("c_name").alias("sequence"))
     return sequence.reference_matches(rows, sequences, "c", "at", "ref").select("o_orderkey", "matches")
+
+
+@query("fasta_offsets", """
+WITH c AS (SELECT c_custkey, c_name, '>' || c_custkey || ' é' AS head, c_mktsegment AS one, c_name AS two FROM customer)
+SELECT c_custkey::VARCHAR || ' é' AS header, (len(one) + len(two) - CASE WHEN contains(one, ' ') THEN 1 ELSE 0 END)::BIGINT AS length, (strlen(head) + strlen(one) + strlen(two) + 3)::BIGINT AS bytes FROM c""")
+def fasta_offsets(spark, sf_dir):
+    """Lengths of records in bytes, from places in files that tile each file without a gap."""
+    path = _path(spark, "fasta")
+    head = F.concat(F.lit(">"), F.col("c_custkey").cast("string"), F.lit(" é"))
+    table(spark, sf_dir, "customer").select(F.concat_ws("\n", head, "c_mktsegment", "c_name")).write.text(path)
+    out = formats.fasta_slices(spark, path)
+    before = F.coalesce(F.lag("end_offset").over(Window.partitionBy("file").orderBy("record_index")), F.lit(0))
+    return out.withColumn("gap", F.col("start_offset") - before).where("gap = 0").select("header", "length", (F.col("end_offset") - F.col("start_offset")).alias("bytes"))
+
+
+# Letters that a hexadecimal digest is turned into: long runs of one letter let indels move.
+_HEX, _LETTERS = "0123456789abcdef", "AAAAAAAAAACCCGGT"
+_KINDS, _PLACES, _STARTS, _INSERTED = ("snv", "del", "ins", "del", "ins", "mnv"), ("NC_000001.11", "23", "chrM", "NC_012920.1", "odd"), ("5", None, "12", "7", "x"), ("A", "AA", "c", "CA")
+
+
+def _bases(number):
+    return F.translate(F.md5(number.cast("string").cast("binary")), _HEX, _LETTERS)
+
+
+@query("event_keys", f"""
+WITH RECURSIVE e AS (SELECT o_orderkey, o_custkey, o_orderstatus, left(o_orderpriority, 1) AS priority, translate(md5(o_custkey::VARCHAR), '{_HEX}', '{_LETTERS}') AS s, o_orderkey % 36 AS t,
+  {sql_pick(_KINDS, 'o_orderkey + o_custkey')} AS kind, {sql_pick(_PLACES, 'o_custkey')} AS place, {sql_pick(_STARTS, 'o_orderkey')} AS start1 FROM orders),
+f AS (SELECT *, CASE kind WHEN 'snv' THEN substr(s, t + 1, 1) WHEN 'del' THEN CASE o_orderstatus WHEN 'P' THEN 'TT' ELSE substr(s, t + 1, 2) END WHEN 'ins' THEN '' ELSE 'AC' END AS ref,
+  CASE kind WHEN 'snv' THEN CASE priority WHEN '5' THEN 'N' ELSE 'G' END WHEN 'del' THEN '' WHEN 'ins' THEN upper({sql_pick(_INSERTED, 'o_orderkey')}) ELSE 'GT' END AS alt FROM e),
+g AS (SELECT f.*, CASE place WHEN 'NC_000001.11' THEN '1' WHEN '23' THEN 'X' WHEN 'odd' THEN NULL ELSE 'MT' END AS axis, CASE WHEN c_custkey IS NULL THEN 'raw_no_context' END AS lost,
+  CASE priority WHEN '4' THEN NULL ELSE t END AS start0 FROM f LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey),
+h AS (SELECT *, CASE WHEN contains(ref || alt, 'N') THEN 'non_concrete_allele' WHEN axis IS NULL THEN 'unknown_chrom' WHEN start1 = 'x' THEN 'bad_position' WHEN lost IS NOT NULL THEN lost
+  WHEN start0 IS NULL THEN 'bad_target_position' WHEN kind = 'mnv' THEN 'unsupported_event_type' WHEN kind = 'snv' AND (len(ref) <> 1 OR len(alt) <> 1) THEN 'bad_snv_allele'
+  WHEN kind = 'del' AND ref = '' THEN 'bad_del_allele' WHEN kind <> 'snv' AND start0 <= 0 THEN 'missing_left_anchor' ELSE 'ok' END AS first_status FROM g),
+k AS (SELECT *, CASE WHEN kind = 'snv' THEN t ELSE t - 1 END AS p0, CASE WHEN kind = 'snv' THEN '' ELSE substr(s, t, 1) END AS anchor FROM h WHERE first_status = 'ok'),
+n AS (SELECT o_orderkey, s, axis, o_custkey, p0, anchor || ref AS ref, anchor || alt AS alt FROM k),
+c AS (SELECT *, CASE WHEN ref = '' OR alt = '' THEN 'unsupported_allele' WHEN p0 < 0 OR p0 + len(ref) > len(s) THEN 'out_of_target' WHEN substr(s, p0 + 1, len(ref)) <> ref THEN 'ref_mismatch' ELSE 'ok' END AS status FROM n),
+m AS (SELECT o_orderkey, s, p0, ref, alt FROM c WHERE status = 'ok' UNION ALL
+  SELECT o_orderkey, s, p0 - 1, substr(s, p0, 1) || left(ref, len(ref) - 1), substr(s, p0, 1) || left(alt, len(alt) - 1) FROM m WHERE p0 > 0 AND len(ref) <> len(alt) AND right(ref, 1) = right(alt, 1)),
+l AS (SELECT o_orderkey, min(p0) AS p0, arg_min(ref, p0) AS ref, arg_min(alt, p0) AS alt FROM m GROUP BY 1)
+SELECT h.o_orderkey, coalesce(c.status, first_status) AS key_status, h.axis, h.o_custkey * 1000 + l.p0 AS pos, l.ref AS key_ref, l.alt AS key_alt FROM h LEFT JOIN c USING (o_orderkey) LEFT JOIN l USING (o_orderkey)""")
+def event_keys(spark, sf_dir):
+    n, c, t = F.col("o_orderkey"), F.col("o_custkey"), (F.col("o_orderkey") % 36).cast("int")
+    kind, s, priority = pick(_KINDS, n + c), _bases(c), F.left("o_orderpriority", F.lit(1))
+    deleted = F.when(F.col("o_orderstatus") == "P", "TT").otherwise(F.substr(s, t + 1, F.lit(2)))
+    events = table(spark, sf_dir, "orders").select(
+        "o_orderkey", c.alias("gene_id"), kind.alias("event_type"), pick(_PLACES, c).alias("genomic_accession"), pick(_STARTS, n).alias("genomic_start1"),
+        F.when(kind == "snv", F.substr(s, t + 1, F.lit(1))).when(kind == "del", deleted).when(kind == "ins", "").otherwise("AC").alias("ref"),
+        F.when(kind == "snv", F.when(priority == "5", "N").otherwise("G")).when(kind == "del", "").when(kind == "ins", pick(_INSERTED, n)).otherwise("GT").alias("alt"),
+        F.when(priority == "4", "q").otherwise(t.cast("string")).alias("target_start0"),
+    )
+    known = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("gene_id"), (F.col("c_custkey") * 1000).alias("begin"), _bases(F.col("c_custkey")).alias("sequence"))
+    out = sequence.left_normalised(sequence.anchored_events(events, known))
+    ok = F.col("key_status") == "ok"
+    return out.select("o_orderkey", "key_status", "axis", "pos", *(F.when(ok, F.col(x)).alias(x) for x in ("key_ref", "key_alt")))
+
+
+@query("control_draws", f"""
+WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'C' ELSE 'A' END AS base, translate(md5(o_custkey::VARCHAR), '{_HEX}', '{_LETTERS}') AS s FROM orders JOIN customer ON c_custkey = o_custkey),
+n AS (SELECT o_orderkey, base, least(5, len(s) - len(replace(s, base, '')))::BIGINT AS controls FROM o)
+SELECT o_orderkey, base, controls, controls AS places, controls::INT AS last_rank, true AS same_base FROM n WHERE controls > 0""")
+def control_draws(spark, sf_dir):
+    """What the seeded draws must have in common: as many distinct places as there are, five at most, each with the focal's base."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    focals = orders.select(F.col("o_custkey").alias("gene"), "o_orderkey", F.when(F.col("o_orderstatus") == "F", "C").otherwise("A").alias("base"))
+    start = F.col("c_custkey") * 100
+    spans = customers.select(F.col("c_custkey").alias("gene"), start.alias("start"), (start + 32).alias("end"), _bases(F.col("c_custkey")).alias("sequence"))
+    drawn = sequence.control_positions(focals, spans, "gene", "o_orderkey", "base", 5)
+    checked = drawn.join(focals, ["gene", "o_orderkey"]).join(spans, "gene")
+    same = F.substr("sequence", (F.col("position") - F.col("start") + 1).cast("int"), F.lit(1)) == F.col("base")
+    return checked.groupBy("o_orderkey", "base").agg(
+        F.count("*").alias("controls"), F.countDistinct("position").alias("places"), F.max("control_rank").alias("last_rank"), F.min(same).alias("same_base")
+    )

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from tessera.operators.contracts import Check
 from tessera.operators.dedupe import accept_first
 from tessera.operators.intervals import gap_clusters
+from tessera.storage import discard, scratch
 
 
 def lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -63,15 +64,21 @@ def gene_ids(attrs: Column) -> Column:
 def resolve_parents(features: DataFrame, max_depth: int = 8) -> DataFrame:
     """(id, root): each feature's topmost ancestor by ``id``/``parent``. Cycles and missing parents are errors.
 
-    Pointer jumping halves the depth per round; the rounds are bounded by ``max_depth`` doublings.
+    Pointer jumping halves the depth per round until every pointer has reached a root; more than ``max_depth``
+    rounds mean a cycle. Each round is written, so that the plan does not grow.
     """
     up = features.select("id", F.col("parent").alias("up"))
     Check("parents exist", up.where("up is not null").join(features.select(F.col("id").alias("up")), "up", "left_anti")).run()
-    for _ in range(max_depth):
+    up = scratch(up.select("id", "up", F.lit(True).alias("moved")), "parents")
+    for _ in range(max_depth + 1):
         top = up.select(F.col("id").alias("up"), F.col("up").alias("top"))
-        up = up.join(top, "up", "left").select("id", F.coalesce("top", "up").alias("up"))
-    still = up.where("up is not null").join(up.where("up is not null").select(F.col("id").alias("up")), "up", "left_semi")
-    Check("parents have no cycle", still).run()
+        jumped = up.select("id", "up").join(top, "up", "left")
+        jumped = scratch(jumped.select("id", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "parents")
+        discard(up)
+        up = jumped
+        if up.where("moved").isEmpty():
+            break
+    Check("parents have no cycle", up.where("moved").select("id", "up")).run()
     return up.select("id", F.coalesce("up", "id").alias("root"))
 
 
@@ -95,6 +102,38 @@ def fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return out.withColumn("length", F.char_length("sequence"))
 
 
+def fasta_slices(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, record_index, header, length, start_offset, end_offset): where each record lies in its file, in bytes.
+
+    Records are numbered from 1 and counted inside the blocks that a file is read in; a file's blocks, which are few, then add up.
+    What comes before the first record only moves offsets.
+    """
+    raw = spark.read.option("lineSep", "\n>").text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
+    first = (F.col("block") == 0) & (F.row_number().over(Window.partitionBy("file", "block").orderBy("n")) == 1)
+    text = F.regexp_replace("value", "\r", "")
+    header = F.split_part(text, F.lit("\n"), F.lit(1))
+    body = F.regexp_replace(F.substr(text, F.char_length(header) + 2), r"\s", "")
+    # texts stay behind: only their measures are sorted
+    slim = raw.select(
+        "file", "block", "n", (F.octet_length("value") + 2).cast("long").alias("bytes"), header.alias("header"),
+        F.char_length(body).cast("long").alias("length"), F.col("value").startswith(">").alias("marked"),
+    )
+    slim = slim.withColumn("first", first).withColumn("record", (~F.col("first") | F.col("marked")).cast("long"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = slim.groupBy("file", "block").agg(F.sum("bytes").alias("b"), F.sum("record").alias("r"))
+    last = F.max("block").over(Window.partitionBy("file")) == F.col("block")
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("b"), F.coalesce(F.sum("r").over(before), F.lit(0)).alias("r"), last.alias("last"))
+    inside = Window.partitionBy("file", "block").orderBy("n")
+    placed = slim.withColumns({"to": F.sum("bytes").over(inside), "nth": F.sum("record").over(inside), "open": F.lead("n").over(inside).isNull()}).join(blocks, ["file", "block"])
+    end = F.col("b") + F.col("to")
+    return placed.where("record = 1").select(
+        "file", (F.col("r") + F.col("nth")).alias("record_index"), F.when(F.col("first"), F.substr("header", F.lit(2))).otherwise(F.col("header")).alias("header"), "length",
+        F.when(F.col("first"), 0).otherwise(end - F.col("bytes") - 1).alias("start_offset"),
+        (end - F.when(F.col("open") & F.col("last"), 2).otherwise(1)).alias("end_offset"),
+    )
+
+
 def header_fields(header: Column | str) -> Column:
     """struct(accession, complement, start1, end1, gene_id, organism, chromosome) of ``acc:[c]from-to name [key=value] ...``."""
     h = F.col(header) if isinstance(header, str) else header

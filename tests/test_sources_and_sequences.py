@@ -49,6 +49,31 @@ def test_fasta_and_headers(spark, tmp_path, rows):
     assert tuple(h) == ("NC_1.1", True, 11, 20, "7", "Homo sapiens", "X")
 
 
+def test_fasta_slices_tile_their_files(spark, tmp_path):
+    want = []
+    for name, before, close in (("a", "", "\n"), ("b", "\n", ""), ("c", "junk\n", "\n")):
+        body = before
+        for k in range(40):
+            start, letters = len(body.encode()), ["ACGTn" * (k % 9), "AC" * (k % 5)]
+            body += f">{name}{k} \u00fc" + ("\r\n" if k % 7 == 0 else "\n") + "\n".join(letters) + (close if k == 39 else "\n")
+            want.append((f"{name}.fa", k + 1, f"{name}{k} \u00fc", sum(map(len, letters)), start, len(body.encode())))
+        (tmp_path / f"{name}.fa").write_bytes(body.encode())
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("500", size):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            assert sorted((r[0].rsplit("/", 1)[1], *r[1:]) for r in S.fasta_slices(spark, str(tmp_path)).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_parents_in_long_chains(spark):
+    chain = spark.createDataFrame([(f"{k:03}", f"{k - 1:03}" if k else None) for k in range(200)], "id string, parent string")
+    assert {r["root"] for r in S.resolve_parents(chain).collect()} == {"000"}
+    with pytest.raises(DataContractError):
+        S.resolve_parents(spark.createDataFrame([("a", "a")], "id string, parent string"))
+
+
 def test_alignment_lines(spark, rows):
     line = "q\t10\t0\t10\t+\tt\t100\t5\t15\t9\t10\t60\tcs:Z::3*ag+tt-c:2"
     paf = S.paf(text(spark, line, line))
@@ -151,6 +176,8 @@ def test_control_positions_are_seeded(spark, rows):
     assert a == rows(Q.control_positions(focals.repartition(3), spans, "gene", "focal", "base", 4)) and len(a) == 12
     good = {10, 14, 15, 16, 17, 31, 33}
     assert all(p in good for *_, p in a)
+    odd = spark.createDataFrame([("g", 1, None), ("g", 2, "T"), ("h", 3, "A")], "gene string, focal long, base string")
+    assert rows(Q.control_positions(odd, spans, "gene", "focal", "base", 4)) == [("g", 2, 1, 13)]
 
 
 def test_reads_and_tracks(spark, rows):
