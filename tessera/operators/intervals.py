@@ -2,7 +2,8 @@
 
 All of it is windows and equi-joins. Joins by place go through tiles: both sides meet on group and tile, so the work of a
 group, however large, spreads over its tiles and grows with what overlaps. Tiles are about as wide as the spans are on average
-(``tile_width``, one small aggregation), unless the caller names a width.
+(``tile_width``, one small aggregation), unless the caller names a width. These joins sort and merge: rows that an explosion
+makes are not in Spark's estimate of a side, so a side that looks small enough for a broadcast can be far too large for the driver.
 """
 
 from __future__ import annotations
@@ -124,7 +125,7 @@ def contained(
     on = (F.col(pos) >= F.col(start)) & (F.col(pos) <= F.col(end) if closed else F.col(pos) < F.col(end)) & (F.col("_tile") == F.col("_g_tile"))
     for g in group:
         on = on & (F.col(g) == F.col(f"_g_{g}"))
-    found = points.withColumn("_tile", F.floor(F.col(pos) / width)).join(other, on, how)
+    found = points.withColumn("_tile", F.floor(F.col(pos) / width)).join(other.hint("merge"), on, how)
     return found.drop("_tile", "_g_tile", *(f"_g_{g}" for g in group))
 
 
@@ -170,7 +171,7 @@ def range_join(
         return left.join(hit, [*on, ls, le], how).select(*left.columns)
     a = left.where(F.col(ls) <= F.col(le)).withColumn("_tile", F.explode(tiles(F.col(ls), F.col(le), width)))
     b = right.where(F.col(rs) <= F.col(re)).withColumn("_tile", F.explode(tiles(F.col(rs), F.col(re), width)))
-    met = a.join(b, ["_tile", *on]).where(
+    met = a.join(b.hint("merge"), ["_tile", *on]).where(
         (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) & (F.floor(F.greatest(ls, rs) / width) == F.col("_tile"))
     )
     return met.drop("_tile")

@@ -109,3 +109,24 @@ def test_clusters_and_islands(spark, rows):
     assert rows(I.gap_clusters(df, ["g"], "at", 2), "g", "at", "cluster") == [("a", 1, 1), ("a", 3, 1), ("a", 9, 2), ("b", 2, 1)]
     tiles = spark.createDataFrame([("a", 0), ("a", 10), ("a", 30), ("a", 10)], "g string, tile long")
     assert rows(I.tile_islands(tiles, ["g"], "tile", 10), "first", "last", "tiles") == [(0, 10, 2), (30, 30, 1)]
+
+
+def exploded_sites(spark):
+    """Sites whose estimate knows the ids only, not the places that an explosion gives them."""
+    return spark.range(50).selectExpr("id AS gene", "explode(sequence(0L, 90L, 10L)) AS pos")
+
+
+def own_segments(spark):
+    return spark.range(200).selectExpr("id % 50 AS gene", "id AS ortholog", "id % 7 AS start", "id % 7 + 25 AS end")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_members_at_exploded_sites_are_not_broadcast(spark):
+    found = I.members_at(exploded_sites(spark), own_segments(spark), ["gene"], "ortholog", "pos")
+    assert "Broadcast" not in plan_of(found)
+    want = {(i % 50, p, i) for i in range(200) for p in range(0, 91, 10) if i % 7 <= p < i % 7 + 25}
+    got = [(r["gene"], r["pos"], r["ortholog"]) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
