@@ -192,12 +192,21 @@ def coverage(features: DataFrame, segments: DataFrame, group: Sequence[str], ite
     own = merge(segments, [*group, item], start, end).select(*group, item, F.col(start).alias("_s"), F.col(end).alias("_e"))
     spans = features.select(*group, feature_id, start, end)
     width = tile_width((spans, start, end), (own, "_s", "_e"))
-    hit = range_join(spans, own, (start, end), ("_s", "_e"), width, group).where((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start)))
-    clipped = hit.withColumns({"_s": F.greatest("_s", start), "_e": F.least("_e", end)})
+    # lengths add up over tiles, so each tile clips, sorts and sums its own part; the tile of the later start keeps what has no length
+    a, b = ((df.where(F.col(s) <= F.col(e)).withColumn("_tile", F.explode(tiles(F.col(s), F.col(e), width)))) for df, s, e in ((spans, start, end), (own, "_s", "_e")))
+    hit = a.join(b.hint("merge"), ["_tile", *group]).where((F.col("_s") < F.col(end)) & (F.col("_e") > F.col(start)))
+    later = F.floor(F.greatest(start, "_s") / width) == F.col("_tile")
+    clipped = hit.withColumns({
+        "_from": F.greatest("_s", start, F.col("_tile") * width), "_to": F.least("_e", end, (F.col("_tile") + 1) * width),
+    }).where((F.col("_from") < F.col("_to")) | later)
     key = [*group, feature_id]
-    lengths = clipped.groupBy(*key).agg(F.sum(F.col("_e") - F.col("_s")).alias("depth_length"), F.countDistinct(item).alias("items_covering"))
-    covered = merge(clipped.select(*key, "_s", "_e"), key, "_s", "_e").groupBy(*key).agg(F.sum(F.col("_e") - F.col("_s")).alias("covered"))
-    out = features.join(lengths, key, "left").join(covered, key, "left").fillna(0, ["depth_length", "items_covering", "covered"])
+    reach = F.max("_to").over(_before([*key, "_tile"], "_from", "_to"))
+    pieces = clipped.select(
+        *key, item, F.greatest(F.col("_to") - F.col("_from"), F.lit(0)).alias("_length"),
+        F.greatest(F.col("_to") - F.greatest(F.col("_from"), reach), F.lit(0)).alias("_new"),
+    )
+    lengths = pieces.groupBy(*key).agg(F.sum("_length").alias("depth_length"), F.countDistinct(item).alias("items_covering"), F.sum("_new").alias("covered"))
+    out = features.join(lengths.hint("merge"), key, "left").fillna(0, ["depth_length", "items_covering", "covered"])
     length = F.col(end) - F.col(start)
     return out.withColumns({
         "breadth": F.when(length > 0, F.col("covered") / length).otherwise(0.0),

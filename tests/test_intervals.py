@@ -130,3 +130,26 @@ def test_members_at_exploded_sites_are_not_broadcast(spark):
     want = {(i % 50, p, i) for i in range(200) for p in range(0, 91, 10) if i % 7 <= p < i % 7 + 25}
     got = [(r["gene"], r["pos"], r["ortholog"]) for r in found.collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_coverage_of_exploded_features_is_not_broadcast(spark):
+    features = exploded_sites(spark).selectExpr("gene", "pos AS feature", "pos AS start", "pos + 8 AS end")
+    found = I.coverage(features, own_segments(spark), ["gene"], "ortholog", "feature")
+    plan = plan_of(found)
+    assert "Broadcast" not in plan
+    # one join of features with segments, one with the sums; lengths and covered parts come from the same pass
+    assert plan.count("SortMergeJoin") == 2
+
+
+def test_coverage_against_sets(spark):
+    rng = random.Random(11)
+    features = [(g, f, s, s + rng.choice((0, 1, 9, 40))) for g in range(3) for f in range(12) for s in [rng.randrange(-20, 80)]]
+    data = [(rng.randrange(4), rng.randrange(6), s, s + rng.choice((0, 2, 7, 120))) for s in (rng.randrange(-30, 90) for _ in range(60))]
+    found = I.coverage(
+        spark.createDataFrame(features, "g long, feature long, start long, end long"), spark.createDataFrame(data, "g long, item long, start long, end long"), ["g"], "item", "feature",
+    )
+    got = {(r["g"], r["feature"]): (r["depth_length"], r["items_covering"], r["covered"]) for r in found.collect()}
+    for g, f, s, e in features:
+        held = [{i for h, i, a, b in data if h == g and a <= at < b} for at in range(s, e)]
+        items = {i for h, i, a, b in data if h == g and a < e and b > s}
+        assert got[g, f] == (sum(map(len, held)), len(items), sum(map(bool, held)))
