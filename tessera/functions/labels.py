@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,22 +268,25 @@ def _prefixed(prefix: str):
 # ---------------------------------------------------------------- numbers and times as text
 
 
+def _c_text(form: str, value: Column) -> Column:
+    """A double by a format of C, from its exact binary value. The JVM's formatter starts from the shortest decimal form instead."""
+
+    @F.pandas_udf("string")
+    def text(values: pd.Series) -> pd.Series:
+        return pd.Series([form % v for v in values], dtype=object)
+
+    v = value.cast("double")
+    return F.when(v.isNotNull(), text(v))
+
+
 def fixed_text(value: Column | str, digits: int = 6) -> Column:
-    """A number with ``digits`` decimals, as ``%.6f``; null stays null. A number halfway, in its shortest decimal form, is rounded away from 0."""
-    v = _c(value).cast("double")
-    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v))
+    """A number with ``digits`` decimals, as ``%.6f`` of C; null stays null."""
+    return _c_text(f"%.{digits}f", _c(value))
 
 
 def general_text(value: Column | str, digits: int = 6) -> Column:
     """A number with ``digits`` significant digits, as ``%.6g`` of C: no trailing zeros, an exponent below 1e-4 and from 1e6 on."""
-    v = _c(value).cast("double")
-    scientific = F.format_string(f"%.{digits - 1}e", v)
-    exponent = F.substring_index(scientific, "e", -1).cast("int")
-    decimals = F.greatest(F.lit(digits - 1) - exponent, F.lit(0))
-    plain = F.call_function("format_string", F.concat(F.lit("%."), decimals.cast("string"), F.lit("f")), v)
-    bare = F.regexp_replace(plain, r"(\.[0-9]*?)0+$", "$1")
-    short = F.concat(F.regexp_replace(F.regexp_replace(F.substring_index(scientific, "e", 1), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""), F.lit("e"), F.substring_index(scientific, "e", -1))
-    return F.when(v.isNotNull(), F.when(v == 0, "0").when(exponent.between(-4, digits - 1), F.regexp_replace(bare, r"\.$", "")).otherwise(short))
+    return _c_text(f"%.{digits}g", _c(value))
 
 
 def utc_micros(text: Column | str) -> Column:

@@ -104,3 +104,11 @@ def test_lookup_ladders(spark):
     t, f = F.lit(True), F.lit(False)
     r = one(spark, a=L.lookup_status(t, t), b=L.lookup_status(t, t, found_first=False), c=L.lookup_status(f, t), d=L.lookup_status(F.lit(None).cast("boolean"), f))
     assert tuple(r) == ("found", "lookup_failed", "lookup_failed", "not_found")
+
+
+def test_number_texts_round_the_exact_binary_value(spark):
+    values = [217243.3274395, 0.0078125, 2.5e-6, 1.0000005, 0.3, 123456.5, 1234575.0, 1.5e-7, 99999.95, 123456789012345678.0, 1e22, 0.0, -0.0, -2.0, float("inf"), float("-inf"), float("nan"), None]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double").select("k", L.fixed_text("v").alias("f"), L.general_text("v").alias("g"))
+    got = {r["k"]: (r["f"], r["g"]) for r in rows.collect()}
+    assert [got[k] for k in range(len(values))] == [(None, None) if v is None else ("%.6f" % v, "%.6g" % v) for v in values]
+    assert got[0] == ("217243.327439", "217243") and got[5][1] == "123456"
