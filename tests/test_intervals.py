@@ -58,6 +58,32 @@ def test_random_lines_against_sets(spark):
     assert covered == {g: len([1 for (h, _) in want if h == g]) for g in covered}
 
 
+def test_tied_spans_against_a_sweep(spark, rows):
+    """Many equal spans: SQL that sorts them twice may part them from their island, one sort may not."""
+    rng = random.Random(3)
+    spans = [(g, s, s + 9) for g in range(8) for s in rng.sample(range(300), 12) for _ in range(6)]
+    islands = []
+    for g, s, e in sorted(spans):
+        if islands and islands[-1][0] == g and s <= islands[-1][2]:
+            islands[-1][2:] = [e, islands[-1][3] + 1]
+        else:
+            islands.append([g, s, e, 1])
+    want = sorted(map(tuple, islands), key=repr)
+    rng.shuffle(spans)
+    df = spark.createDataFrame(spans, "g long, start long, end long").repartition(7)
+    assert rows(I.merge(df, ["g"]), "g", "start", "end", "members") == want
+    closed = I.merge(df.selectExpr("g", "start", "end - 1 AS end"), ["g"], closed=True)
+    assert rows(closed, "g", "start", "end", "members") == sorted(((g, s, e - 1, n) for g, s, e, n in want), key=repr)
+    between = [(a[0], a[2], b[1]) for a, b in zip(islands, islands[1:]) if a[0] == b[0]]
+    assert rows(I.gaps(df, ["g"]), "g", "start", "end") == sorted(between, key=repr)
+    lengths = [(g, sum(e - s for h, s, e, _ in want if h == g), 72, 72 * 9) for g in range(8)]
+    assert rows(I.union_length(df, ["g"]), "g", "covered", "intervals", "total") == lengths
+    points = spark.range(8).selectExpr("id AS g", "explode(sequence(0L, 310L, 5L)) AS pos")
+    held = {(g, p): (s, e, n) for g, s, e, n in want for p in range(0, 311, 5) if s <= p < e}
+    found = rows(I.contained(points, I.merge(df, ["g"]), ["g"], "pos"), "g", "pos", "start", "end", "members")
+    assert found == sorted(((g, p, *held.get((g, p), (None,) * 3)) for g in range(8) for p in range(0, 311, 5)), key=repr)
+
+
 def test_subtract_against_sets(spark):
     rng = random.Random(7)
     base = [(g, k, s := rng.randrange(50), s + rng.randrange(1, 20)) for g in range(4) for k in range(6)]
