@@ -37,8 +37,8 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # ---------------------------------------------------------------- tokenising
 
-#: Cached chunks of a worker, those that it meets first, which are the frequent ones; others are learned anew each time. Texts that are
-#: encoded together.
+#: Cached chunks and words of a worker, those that it meets first, which are the frequent ones; others are learned anew each time. Texts that
+#: are encoded together.
 CACHE_WORDS, GROUP = 400_000, 16
 #: Code points below this are composed, so NFC leaves a text of them as it is.
 SIMPLE_BELOW = 0x250
@@ -85,28 +85,41 @@ class WordTokeniser:
         return out
 
     def _learned(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of chunks. Words never cross white space, so what stands between two spaces has ids of its own."""
-        parts = [self.words.findall(x) for x in chunks]
-        get = self._words(sorted({w for p in parts for w in p})).__getitem__
-        return {x: get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for x, p in zip(chunks, parts)}
+        """The ids of chunks and of their words that the cache lacks. Words never cross white space, so what stands between two spaces has
+        ids of its own; a word has the same ids as a chunk and in it."""
+        parts, known = [self.words.findall(x) for x in chunks], self.chunks
+        own = self._words(sorted({w for p in parts for w in p if w not in known}))
+        for x, p in zip(chunks, parts):
+            if len(p) > 1:
+                own[x] = b"".join([own[w] if w in own else known[w] for w in p])
+        return own
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers. What the texts lack in the cache is
         learned together."""
-        split = [None if not self.simple(t) or any(x in low for x in self.added) else low.split() for t, low in zip(texts, map(str.lower, texts))]
-        known = self.chunks
-        wanted = {c for s in split if s for c in s}
-        unseen = wanted.difference(known)
-        if len(known) + len(unseen) <= CACHE_WORDS:
-            known.update(self._learned(sorted(unseen)))
-        else:  # the cache is full, so these are learned for this time only
-            own = self._learned(sorted(unseen))
-            known = own | {c: known[c] for c in wanted if c not in own}
+        found: list[list[bytes] | None] = []
+        missing: dict[str, list[tuple[list, int]]] = {}  # where a chunk's ids are to be filled in
+        get = self.chunks.get
+        for t in texts:
+            low = t.lower()
+            if not self.simple(t) or any(x in low for x in self.added):
+                found.append(None)
+                continue
+            chunks = low.split()
+            ids = list(map(get, chunks))
+            found.append(ids)
+            for at in [i for i, x in enumerate(ids) if x is None]:
+                missing.setdefault(chunks[at], []).append((ids, at))
+        own = self._learned(list(missing))
+        for chunk, places in missing.items():
+            for ids, at in places:
+                ids[at] = own[chunk]
+        if len(self.chunks) + len(own) <= CACHE_WORDS:  # else these were learned for this time only
+            self.chunks.update(own)
         plain = self.tokenizer.encode
         return [
-            b"".join(map(known.__getitem__, s)) if s is not None
-            else np.asarray(plain(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            for t, s in zip(texts, split)
+            b"".join(ids) if ids is not None else np.asarray(plain(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for t, ids in zip(texts, found)
         ]
 
 

@@ -41,6 +41,21 @@ def test_words_are_encoded_like_whole_texts(word_tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_of_new_chunks_are_encoded_once(word_tokenizer, monkeypatch):
+    """A chunk that is new takes the ids of words that are known, and a full cache changes no ids."""
+    texts = ["Alpha, beta. (gamma) it's", "alpha. beta; gamma delta", "(beta) delta, 's s 7 77", "alpha. beta; gamma delta"]
+    for size in (400_000, 9, 0):
+        monkeypatch.setattr(packing, "CACHE_WORDS", size)
+        own = packing.WordTokeniser(tokenizers.path("word_bpe_49k.json"))
+        encoded, words = [], own._words
+        monkeypatch.setattr(own, "_words", lambda new: encoded.extend(new) or words(new))
+        for text in texts:
+            ids = own.encode([text])[0]
+            assert np.frombuffer(ids, "<u4").tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids, text
+        assert len(own.chunks) <= size
+        assert size < 400_000 or len(encoded) == len(set(encoded)), encoded
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_histogram_packing_is_whole_and_near_the_bound(seed):
     rng = random.Random(seed)
