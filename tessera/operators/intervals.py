@@ -36,23 +36,28 @@ def _upto(group: Sequence[str], *order: str):
 
 
 def merge(
-    df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, closed: bool = False, chunk: int | None = None
-) -> DataFrame:
+    df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, closed: bool = False, chunk: int | None = None,
+    unplaced: bool = False,
+) -> DataFrame:
     """Gaps and islands: (group, start, end, members) of merged intervals.
 
     Half-open intervals that touch merge; ``gap`` bridges that much more. ``closed`` intervals
     merge when adjacent (start <= end + 1). Intervals that start in the same stretch of width
     ``chunk`` (by default ``CHUNK`` mean lengths; 0: no stretches) merge first, each stretch in a task of its own; a group that holds a large part of all
-    rows then reaches the last window as few islands.
+    rows then reaches the last window as few islands. Rows without a start or an end are left out; ``unplaced`` keeps each as an
+    island of its own.
     """
     slack = gap + (1 if closed else 0)
-    rows = df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("members", F.lit(1).cast("long"))
+    every = df.select(*group, start, end).withColumn("members", F.lit(1).cast("long"))
+    placed = F.col(start).isNotNull() & F.col(end).isNotNull()
+    rows = every.where(placed)
     if chunk is None:
         chunk = CHUNK * tile_width((rows, start, end))
     if chunk:
         stretched = rows.withColumn("_chunk", F.floor(F.col(start) / chunk))
         rows = _islands(stretched, [*group, "_chunk"], start, end, slack).drop("_chunk")
-    return _islands(rows, group, start, end, slack)
+    merged = _islands(rows, group, start, end, slack)
+    return merged.unionByName(every.where(~placed)) if unplaced else merged
 
 
 def _islands(rows: DataFrame, group: Sequence[str], start: str, end: str, slack: int) -> DataFrame:

@@ -57,7 +57,7 @@ flagged AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY g ORDER BY s, e R
 islands AS (SELECT *, sum(first) OVER (PARTITION BY g ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM flagged)
 SELECT g, min(s) AS s, max(e) AS e, count(*)::BIGINT AS members FROM islands GROUP BY g, island""")
 def interval_closed_merge(spark, sf_dir):
-    return intervals.merge(_spans(spark, sf_dir).withColumn("e", F.col("e") - 1), ["g"], "s", "e", closed=True)
+    return intervals.merge(_spans(spark, sf_dir).withColumn("e", F.col("e") - 1), ["g"], "s", "e", closed=True, unplaced=True)
 
 
 _SWEEP = """edges AS (SELECT g, t, sum(step) AS step FROM (SELECT g, s AS t, 1 AS step FROM spans UNION ALL SELECT g, e, -1 FROM spans) GROUP BY g, t),

@@ -51,3 +51,21 @@ def test_query(spark, oracle, name):
     assert ordered(rows, df.columns) == ordered(want, columns)
     kinds = dict(zip(columns, types))
     assert {c: TYPES[t] for c, t in df.dtypes if t in TYPES and kinds[c] != TYPES[t]} == {}
+
+
+#: Orders as (item, customer, date): days without overlap, equal days, and what lacks a date or a customer.
+GAPPY = """(1, 1, '1996-01-01'), (2, 1, '1996-02-01'), (3, 1, NULL), (4, 1, NULL), (5, 2, NULL), (6, NULL, '1997-01-01'), (7, NULL, '1997-02-01'),
+  (8, NULL, NULL), (9, 3, '1997-01-01'), (10, 3, '1997-12-01'), (11, 3, NULL), (12, 3, '1997-12-01')"""
+
+
+@pytest.mark.parametrize("name", ["interval_closed_merge"])
+def test_missing_dates_and_customers(spark, tmp_path, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE orders AS SELECT i::BIGINT AS o_orderkey, c::BIGINT AS o_custkey, d::TIMESTAMP AS o_orderdate FROM (VALUES {GAPPY}) t(i, c, d)")
+    con.execute("CREATE TABLE customer AS SELECT c::BIGINT AS c_custkey FROM (VALUES (1), (2), (3), (4), (NULL)) t(c)")
+    for source in ("orders", "customer"):
+        con.execute(f"COPY {source} TO '{tmp_path}/{source}.parquet'")
+    df = registry.QUERIES[name](spark, str(tmp_path))
+    cur = con.execute(registry.ORACLES[name])
+    columns = [c[0] for c in cur.description]
+    assert ordered(df.collect(), df.columns) == ordered(cur.fetchall(), columns)
