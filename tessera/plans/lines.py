@@ -36,7 +36,7 @@ _POINTS = "points AS (SELECT c_custkey AS g, unnest(range(9200, 11401, 200)) AS
 
 @query("interval_merge", f"WITH {_MERGED} SELECT g, s, e, members::BIGINT AS members FROM merged")
 def interval_merge(spark, sf_dir):
-    return intervals.merge(_spans(spark, sf_dir), ["g"], "s", "e")
+    return intervals.merge(_spans(spark, sf_dir), ["g"], "s", "e", unplaced=True)
 
 
 @query("interval_union_length", f"""WITH {_MERGED}
