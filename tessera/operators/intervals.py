@@ -71,10 +71,13 @@ def _islands(rows: DataFrame, group: Sequence[str], start: str, end: str, slack:
 
 
 def union_length(df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """(group, covered, intervals, total): merged length, number of rows, summed length."""
+    """(group, covered, intervals, total): merged length, number of rows, summed length.
+
+    As in SQL, the merged length is null for a null group and where no row has both a start and an end.
+    """
     total = df.groupBy(*group).agg(F.count("*").alias("intervals"), F.sum(F.col(end) - F.col(start)).alias("total"))
     covered = merge(df, group, start, end).groupBy(*group).agg(F.sum(F.col(end) - F.col(start)).alias("covered"))
-    return total.join(covered, list(group), "left").select(*group, F.coalesce("covered", F.lit(0)).alias("covered"), "intervals", "total")
+    return total.join(covered, list(group), "left").select(*group, "covered", "intervals", "total")
 
 
 def depth(df: DataFrame, group: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
