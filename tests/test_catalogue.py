@@ -58,7 +58,7 @@ GAPPY = """(1, 1, '1996-01-01'), (2, 1, '1996-02-01'), (3, 1, NULL), (4, 1, NULL
   (8, NULL, NULL), (9, 3, '1997-01-01'), (10, 3, '1997-12-01'), (11, 3, NULL), (12, 3, '1997-12-01')"""
 
 
-@pytest.mark.parametrize("name", ["interval_closed_merge", "interval_merge", "interval_union_length", "containment_join"])
+@pytest.mark.parametrize("name", ["interval_closed_merge", "interval_merge", "interval_union_length", "containment_join", "interval_gaps"])
 def test_missing_dates_and_customers(spark, tmp_path, name):
     con = duckdb.connect()
     con.execute(f"CREATE TABLE orders AS SELECT i::BIGINT AS o_orderkey, c::BIGINT AS o_custkey, d::TIMESTAMP AS o_orderdate FROM (VALUES {GAPPY}) t(i, c, d)")
